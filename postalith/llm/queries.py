@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postalith.llm import media, packing
+from postalith.llm import media, mixing, packing, warc
 from postalith.llm.common import Scratch
 
 
@@ -33,6 +33,22 @@ def op1_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words the mix takes of every document, against its source's target."""
+    chosen = mixing.decide(table(spark, sf_dir, "documents"), Scratch(spark, "op2"))
+    return chosen.withColumn("_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("documents")))).select(
+        "doc_id", "source", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies"
+    )
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a WARC record, written to an archive, put together from it again, parsed and checked."""
+    archive = warc.write(table(spark, sf_dir, "pages"), Scratch(spark, "op7"))
+    return warc.read(warc.records(archive)).select(
+        F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in sequences of 1024 ids."""
     cut = packing.pieces(table(spark, sf_dir, "documents"), tokenizer_path())
@@ -41,6 +57,8 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_media": op1_media,
+    "op2_mixing": op2_mixing,
+    "op7_warc": op7_warc,
     "op10_packing": op10_packing,
 }
 
