@@ -8,6 +8,7 @@ the r-th piece of a length fills the r-th place that the patterns hold for it.
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
 
@@ -20,52 +21,42 @@ from pyspark.sql import types as T
 
 from postalith.llm.common import Scratch, global_rank
 
-#: Words whose ids a Python worker remembers.
-CACHE = 400_000
 END = 0
 
+#: Fixed values of byte-level BPE: how texts are split before merging.
+SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-class WordCache:
-    """Ids of a whole text, put together from those of its space-led words.
 
-    Byte-level BPE of this family never joins what stands before a single space to what follows it, so a text can be
-    cut there. Where a space is followed by white space the whole text goes to the tokenizer.
-    """
+def _bytes_of() -> dict[str, int]:
+    """The byte that each character of a byte-level vocabulary stands for."""
+    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    hidden = [b for b in range(256) if b not in shown]
+    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
+
 
-    def __init__(self, path: str, size: int = CACHE):
-        from tokenizers import Tokenizer
+class Encoder:
+    """The ids that the tokenizers library gives for a byte-level BPE file, special tokens' strings being plain text.
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.size, self.words = size, {}
+    The merging is done by tiktoken, about four times as fast, over the ranks of the same file. A test compares the
+    two libraries on every character of Unicode.
+    """
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def __init__(self, path: str):
+        import tiktoken
 
-    def learn(self, texts: list[str]) -> None:
-        new = set()
-        for text in texts:
-            new.update(text.split(" ")[1:])
-        new.difference_update(self.words)
-        if len(self.words) + len(new) > self.size:
-            self.words = {}
-            for text in texts:
-                new.update(text.split(" ")[1:])
-        new = list(new)
-        good = [w for w in new if w and not w[0].isspace()]
-        self.words.update(dict.fromkeys(new))
-        self.words.update(zip(good, self._encode([" " + w for w in good])))
+        with open(path, encoding="utf-8") as f:
+            file = json.load(f)
+        back = _bytes_of()
+        special = {t["content"] for t in file["added_tokens"]}
+        ranks = {bytes(back[c] for c in k): v for k, v in file["model"]["vocab"].items() if k not in special}
+        self.fast = tiktoken.Encoding("own", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
 
-    def ids(self, text: str) -> bytes:
-        """The ids as little-endian unsigned 32-bit numbers."""
-        first, *rest = text.split(" ")
-        try:
-            return b"".join([self._encode([first])[0] if first else b"", *map(self.words.__getitem__, rest)])
-        except TypeError:  # None: a word that starts with white space
-            return self._encode([text])[0]
+    def ids(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit numbers."""
+        return [np.array(self.fast.encode_ordinary(text), dtype="<u4").tobytes() for text in texts]
 
 
-_caches: dict[str, WordCache] = {}
+_encoders: dict[str, Encoder] = {}
 
 
 def pieces(docs: DataFrame, tokenizer: str, length: int = 1024, keep_ids: bool = False, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -79,16 +70,16 @@ def pieces(docs: DataFrame, tokenizer: str, length: int = 1024, keep_ids: bool =
         schema = schema.add("ids", T.BinaryType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = _caches.setdefault(tokenizer, None) or WordCache(tokenizer)
-        _caches[tokenizer] = cache
+        if tokenizer not in _encoders:
+            _encoders[tokenizer] = Encoder(tokenizer)
+        encoder = _encoders[tokenizer]
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
                 texts = [x or "" for x in batch.column(1).to_pylist()]
-                cache.learn(texts)
                 rows, starts, sizes, crcs, totals, ids = [], [], [], [], [], []
-                for i, x in enumerate(texts):
-                    own = cache.ids(x) + END.to_bytes(4, "little")
+                for i, own in enumerate(encoder.ids(texts)):
+                    own += END.to_bytes(4, "little")
                     total = len(own) // 4
                     for start in range(0, total, length):
                         part = own[4 * start : 4 * (start + length)]
