@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postalith.llm import media, mixing, packing, warc
+from postalith.llm import html, media, mixing, packing, warc
 from postalith.llm.common import Scratch
 
 
@@ -49,6 +49,11 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html.extract(table(spark, sf_dir, "pages"), Scratch(spark, "op9"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in sequences of 1024 ids."""
     cut = packing.pieces(table(spark, sf_dir, "documents"), tokenizer_path())
@@ -59,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_media": op1_media,
     "op2_mixing": op2_mixing,
     "op7_warc": op7_warc,
+    "op9_html": op9_html,
     "op10_packing": op10_packing,
 }
 
