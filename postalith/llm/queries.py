@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postalith.llm import html, media, mixing, packing, warc
+from postalith.llm import html, media, mixing, packing, quality, warc
 from postalith.llm.common import Scratch
 
 
@@ -49,6 +49,19 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def remainder(key: str, by: int) -> Column:
+    """The fold of a row: crc32 of the key as text, modulo by."""
+    return F.crc32(F.col(key).cast("string")) % by
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by a model that saw four of five folds."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, table(spark, sf_dir, "labels").where(remainder("doc_id", 5) != 0))
+    held = F.coalesce(remainder("doc_id", 5) == 0, F.lit(False))
+    return quality.score(docs, model).select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
 def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return html.extract(table(spark, sf_dir, "pages"), Scratch(spark, "op9"))
@@ -64,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_media": op1_media,
     "op2_mixing": op2_mixing,
     "op7_warc": op7_warc,
+    "op8_quality": op8_quality,
     "op9_html": op9_html,
     "op10_packing": op10_packing,
 }
