@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postalith.llm import html, media, mixing, packing, quality, warc
+from postalith.llm import html, language, media, mixing, packing, quality, warc
 from postalith.llm.common import Scratch
 
 
@@ -41,6 +41,15 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by a model that saw three of four folds."""
+    docs = table(spark, sf_dir, "documents")
+    model = language.train(docs.where(remainder("doc_id", 4) != 2).select("doc_id", "lang", "text"))
+    found = language.detect(docs, model)
+    held = F.coalesce(remainder("doc_id", 4) == 2, F.lit(False))
+    return found.select("doc_id", held.alias("held_out"), "lang_pred", "score", F.size("spans").cast("long").alias("n_spans"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page as a WARC record, written to an archive, put together from it again, parsed and checked."""
     archive = warc.write(table(spark, sf_dir, "pages"), Scratch(spark, "op7"))
@@ -76,6 +85,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_media": op1_media,
     "op2_mixing": op2_mixing,
+    "op6_language": op6_language,
     "op7_warc": op7_warc,
     "op8_quality": op8_quality,
     "op9_html": op9_html,
