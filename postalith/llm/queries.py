@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postalith.llm import html, language, media, mixing, packing, quality, warc
+from postalith.llm import embeddings, html, language, media, mixing, packing, quality, warc
 from postalith.llm.common import Scratch
 
 
@@ -41,6 +41,11 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of cosine 0.95 or more among all embeddings."""
+    return embeddings.links(table(spark, sf_dir, "embeddings"), Scratch(spark, "op4"))
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document by a model that saw three of four folds."""
     docs = table(spark, sf_dir, "documents")
@@ -85,6 +90,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_media": op1_media,
     "op2_mixing": op2_mixing,
+    "op4_embeddings": op4_embeddings,
     "op6_language": op6_language,
     "op7_warc": op7_warc,
     "op8_quality": op8_quality,
