@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postalith.llm import embeddings, html, language, media, mixing, packing, quality, warc
+from postalith.llm import embeddings, html, language, media, mixing, ngram_join, packing, quality, warc
 from postalith.llm.common import Scratch
 
 
@@ -41,6 +41,11 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents connected by a Jaccard similarity of 0.8 or more of their five-word shingles."""
+    return ngram_join.connect(table(spark, sf_dir, "documents"), Scratch(spark, "op3"))
+
+
 def op4_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links of cosine 0.95 or more among all embeddings."""
     return embeddings.links(table(spark, sf_dir, "embeddings"), Scratch(spark, "op4"))
@@ -90,6 +95,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_media": op1_media,
     "op2_mixing": op2_mixing,
+    "op3_ngram_join": op3_ngram_join,
     "op4_embeddings": op4_embeddings,
     "op6_language": op6_language,
     "op7_warc": op7_warc,
