@@ -35,6 +35,8 @@ PAIRED = 5
 SEEDS = 4
 #: Signatures that a task compares at a time, on average.
 BUCKET = 1 << 18
+#: 64-bit numbers in a sketch.
+SKETCH = 16
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _SPACE = np.zeros(256, dtype=bool)
@@ -161,8 +163,17 @@ def signatures(h: np.ndarray) -> np.ndarray:
     return _mix(np.concatenate(found)) if found else np.zeros(0, np.uint64)
 
 
+def sketch(h: np.ndarray) -> np.ndarray:
+    """Whether an odd number of elements fall on each of 1024 bits, as 16 numbers.
+
+    Sketches of two sets differ in no more bits than the sets in elements, so they rule pairs out without error.
+    """
+    odd = np.bincount((h & np.uint64(64 * SKETCH - 1)).astype(np.int64), minlength=64 * SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def sets(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """key, cls, shingles of every document with a word."""
+    """key, cls, shingles, sketch of every document with a word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -172,9 +183,9 @@ def sets(docs: DataFrame, key: str, text: str) -> DataFrame:
                 flat = np.concatenate([np.zeros(0, np.uint64), *(rows[i] for i in some)]).view(np.int64)
                 ends = np.cumsum([0, *(len(rows[i]) for i in some)])
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(some, pa.int64())), pa.array([class_of(rows[i]) for i in some], pa.int64()), lists], names=["key", "cls", "shingles"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(some, pa.int64())), pa.array([class_of(rows[i]) for i in some], pa.int64()), lists, pa.array([sketch(rows[i]) for i in some], pa.list_(pa.int64()))], names=["key", "cls", "shingles", "sketch"])
 
-    return docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).mapInArrow(run, "key long, cls long, shingles array<long>")
+    return docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).mapInArrow(run, "key long, cls long, shingles array<long>, sketch array<long>")
 
 
 def _ids(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -238,6 +249,14 @@ def _groups(docs: DataFrame, text: str, buckets: int) -> DataFrame:
     return blobs.groupBy("bucket").applyInArrow(meet, "signature long, cls long, lead long")
 
 
+def _possible(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sketches do not rule them out."""
+    left = found.select(F.col("cls").alias("a"), F.col("size").alias("na"), F.col("sketch").alias("x"))
+    right = found.select(F.col("cls").alias("b"), F.col("size").alias("nb"), F.col("sketch").alias("y"))
+    apart = sum((F.bit_count(F.col("x")[i].bitwiseXOR(F.col("y")[i])) for i in range(1, SKETCH)), F.bit_count(F.col("x")[0].bitwiseXOR(F.col("y")[0])))
+    return pairs.join(left, "a").join(right, "b").where(apart * (100 + LEAST) <= (F.col("na") + F.col("nb")) * (100 - LEAST)).select("a", "b")
+
+
 def _verified(pairs: DataFrame, found: DataFrame) -> DataFrame:
     """The pairs (a, b) of classes whose sets are similar enough."""
     left = found.select(F.col("cls").alias("a"), F.col("shingles").alias("x"))
@@ -265,7 +284,7 @@ def connect(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str =
     texts = keyed.select(F.col(key).cast("long").alias("_key"), F.col(text).alias("_text")).join(needed, F.col("_key") == F.col("_first"))
     names = needed.select(F.col("_cls").alias("cls"), F.col("_first").alias("key"))
     found = sets(texts, "_key", "_text").join(names, ["cls", "key"])
-    found = scratch.keep(found.select("cls", "shingles"), "sets")
+    found = scratch.keep(found.select("cls", F.size("shingles").alias("size"), "sketch", "shingles"), "sets")
 
     votes = groups.where("cls <> lead").groupBy("cls", "lead").agg(F.count("*").alias("n"))
     led = votes.groupBy("cls").agg(F.max_by("lead", F.struct("n", -F.col("lead"))).alias("lead"))
@@ -281,7 +300,8 @@ def connect(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str =
     two = sized.select("signature", F.col("cls").alias("b"), F.col("component").alias("cb"), F.col("size").alias("nb"))
     near = (F.col("na") * 100 >= F.col("nb") * LEAST) & (F.col("nb") * 100 >= F.col("na") * LEAST)
     pairs = one.join(two, "signature").where((F.col("ca") < F.col("cb")) & near).select("a", "b").distinct()
-    more = scratch.keep(_verified(scratch.keep(pairs, "pairs"), found), "edges2")
+    pairs = scratch.keep(_possible(scratch.keep(pairs, "pairs"), found), "possible")
+    more = scratch.keep(_verified(pairs, found), "edges2")
     if more.limit(1).count():
         labels = components(edges.unionByName(more), scratch, "second")
 
