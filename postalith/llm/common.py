@@ -40,16 +40,29 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
+        self.tables: dict[str, str] = {}
         self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("overwrite").parquet(self.path(name))
+    def keep(self, df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
+        df.write.mode("overwrite").option("compression", compression).parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
+    def bucketed(self, df: DataFrame, name: str, key: str) -> DataFrame:
+        """A table whose rows lie by the hash of a key: joins and aggregations on it need not move them."""
+        count = max(1, int(self.spark.conf.get("spark.sql.shuffle.partitions")))
+        table = f"postalith_{uuid.uuid4().hex}"
+        where = df.repartition(count, key).write.bucketBy(count, key).option("compression", "zstd").option("path", self.path(name))
+        where.saveAsTable(table)
+        self.tables[name] = table
+        return self.spark.table(table)
+
     def drop(self, *names: str) -> None:
+        for name in names:
+            if name in self.tables:
+                self.spark.sql(f"DROP TABLE IF EXISTS {self.tables.pop(name)}")
         jvm = self.spark.sparkContext._jvm
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         for name in names:

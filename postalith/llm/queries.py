@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postalith.llm import embeddings, html, language, media, mixing, ngram_join, packing, quality, warc
+from postalith.llm import embeddings, html, language, lines, media, mixing, ngram_join, packing, quality, warc
 from postalith.llm.common import Scratch
 
 
@@ -51,6 +51,13 @@ def op4_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.links(table(spark, sf_dir, "embeddings"), Scratch(spark, "op4"))
 
 
+def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document after line dedup: how many lines it had and lost, and its text."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = docs.withColumn("n_lines", F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long"))
+    return lines.dedup(docs, Scratch(spark, "op5")).select("doc_id", "n_lines", "removed_lines", "text")
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document by a model that saw three of four folds."""
     docs = table(spark, sf_dir, "documents")
@@ -97,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": op2_mixing,
     "op3_ngram_join": op3_ngram_join,
     "op4_embeddings": op4_embeddings,
+    "op5_lines": op5_lines,
     "op6_language": op6_language,
     "op7_warc": op7_warc,
     "op8_quality": op8_quality,
