@@ -30,6 +30,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 _own: str | None = None
+_stages: dict[str, Scratch] = {}
 
 
 class Scratch:
@@ -43,6 +44,18 @@ class Scratch:
         self.tables: dict[str, str] = {}
         self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
+    @classmethod
+    def stage(cls, spark: SparkSession, name: str, frees: str | None = None) -> Scratch:
+        """Scratch of a pipeline stage. It frees that of the stage it names, whose result is written by now."""
+        if frees in _stages:
+            _stages.pop(frees).clear()
+        _stages[name] = cls(spark, name)
+        return _stages[name]
+
+    def clear(self) -> None:
+        self.drop(*list(self.tables))
+        self._delete(self.root)
+
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
@@ -63,11 +76,11 @@ class Scratch:
         for name in names:
             if name in self.tables:
                 self.spark.sql(f"DROP TABLE IF EXISTS {self.tables.pop(name)}")
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        for name in names:
-            path = jvm.org.apache.hadoop.fs.Path(self.path(name))
-            path.getFileSystem(conf).delete(path, True)
+            self._delete(self.path(name))
+
+    def _delete(self, path: str) -> None:
+        where = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def global_rank(df: DataFrame, keys: list[Column | str], scratch: Scratch, name: str, rank: str = "rank") -> DataFrame:
