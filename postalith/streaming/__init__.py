@@ -1,0 +1 @@
+"""No stream operators: the queries that this engine answers are all over whole tables."""
