@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postalith.functions import geometry as g
+from postalith.ship import ship
 
 _TAGS = "tag array<struct<_k:string,_v:string>>"
 NODE = f"_id bigint, _lat double, _lon double, {_TAGS}"
@@ -62,6 +63,7 @@ def read_xml(spark: SparkSession, path: str) -> DataFrame:
     kind is point, line or area. Areas come from closed ways and from multipolygon and boundary relations; one whose
     outline is incomplete or does not close is dropped. A point or line without places stays, with null px and py.
     """
+    ship(spark)
     nodes, ways = _read(spark, path, "node", NODE), _read(spark, path, "way", WAY)
     relations = _read(spark, path, "relation", RELATION)
     valid = F.col("_lat").between(-90, 90) & F.col("_lon").between(-180, 180)
