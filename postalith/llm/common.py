@@ -10,6 +10,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from postalith.ship import ship
+
 #: The white space that separates words in every word-based operator.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -19,6 +21,7 @@ def shared_dir(spark: SparkSession) -> str:
 
     Where the setting is absent (as in tests on one machine) a temporary folder stands in for it.
     """
+    ship(spark)
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")

@@ -20,7 +20,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postalith.llm.common import Scratch, components
@@ -37,6 +37,8 @@ SEEDS = 4
 BUCKET = 1 << 18
 #: 64-bit numbers in a sketch.
 SKETCH = 16
+#: Rounds after the first: all but the last compare with other leaders.
+TURNS = 2
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _SPACE = np.zeros(256, dtype=bool)
@@ -173,7 +175,7 @@ def sketch(h: np.ndarray) -> np.ndarray:
 
 
 def sets(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """key, cls, shingles, sketch of every document with a word."""
+    """key, cls, shingles of every document with a word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -183,25 +185,26 @@ def sets(docs: DataFrame, key: str, text: str) -> DataFrame:
                 flat = np.concatenate([np.zeros(0, np.uint64), *(rows[i] for i in some)]).view(np.int64)
                 ends = np.cumsum([0, *(len(rows[i]) for i in some)])
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(some, pa.int64())), pa.array([class_of(rows[i]) for i in some], pa.int64()), lists, pa.array([sketch(rows[i]) for i in some], pa.list_(pa.int64()))], names=["key", "cls", "shingles", "sketch"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(some, pa.int64())), pa.array([class_of(rows[i]) for i in some], pa.int64()), lists], names=["key", "cls", "shingles"])
 
-    return docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).mapInArrow(run, "key long, cls long, shingles array<long>, sketch array<long>")
+    return docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).mapInArrow(run, "key long, cls long, shingles array<long>")
 
 
 def _ids(docs: DataFrame, key: str, text: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            size, name = [], []
-            for t in batch.column(1):
-                h = shingles(t.as_py())
-                size.append(len(h)), name.append(class_of(h) if len(h) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int64()), pa.array(name, pa.int64())], names=["key", "size", "cls"])
+        for whole in batches:
+            for batch in (whole.slice(a, 1024) for a in range(0, whole.num_rows, 1024)):
+                size, name, odd = [], [], []
+                for t in batch.column(1):
+                    h = shingles(t.as_py())
+                    size.append(len(h)), name.append(class_of(h) if len(h) else None), odd.append(sketch(h) if len(h) else None)
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int64()), pa.array(name, pa.int64()), pa.array(odd, pa.list_(pa.int64()))], names=["key", "size", "cls", "sketch"])
 
-    return docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text")).mapInArrow(run, "key long, size long, cls long")
+    return docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text")).mapInArrow(run, "key long, size long, cls long, sketch array<long>")
 
 
 def _groups(docs: DataFrame, text: str, buckets: int) -> DataFrame:
-    """(signature, cls, lead): the classes of every signature that two or more share; lead is the smallest.
+    """(signature, cls, n): the classes of every signature that n, two or more, share.
 
     Signatures travel in blobs, one per bucket and batch; a class that a task has sent is not sent again.
     """
@@ -242,19 +245,24 @@ def _groups(docs: DataFrame, text: str, buckets: int) -> DataFrame:
         many = np.append(same, False) | np.append(False, same) if len(s) else np.zeros(0, bool)
         s, n = s[many], n[many]
         first = np.flatnonzero(np.append(True, s[1:] != s[:-1])) if len(s) else np.zeros(0, np.int64)
-        lead = np.repeat(n[first], np.diff(np.append(first, len(s))))
-        return pa.table({"signature": pa.array(s.view(np.int64)), "cls": pa.array(n), "lead": pa.array(lead)})
+        count = np.diff(np.append(first, len(s)))
+        return pa.table({"signature": pa.array(s.view(np.int64)), "cls": pa.array(n), "n": pa.array(np.repeat(count, count), pa.int64())})
 
     blobs = docs.select(F.col(text).cast("string").alias("text")).mapInArrow(send, "bucket int, sigs binary, names binary")
-    return blobs.groupBy("bucket").applyInArrow(meet, "signature long, cls long, lead long")
+    return blobs.groupBy("bucket").applyInArrow(meet, "signature long, cls long, n long")
+
 
+def _apart(x: str, y: str, numbers: int) -> Column:
+    """Bits in which the first numbers of two sketches differ."""
+    return sum((F.bit_count(F.col(x)[i].bitwiseXOR(F.col(y)[i])) for i in range(1, numbers)), F.bit_count(F.col(x)[0].bitwiseXOR(F.col(y)[0])))
 
-def _possible(pairs: DataFrame, found: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sketches do not rule them out."""
-    left = found.select(F.col("cls").alias("a"), F.col("size").alias("na"), F.col("sketch").alias("x"))
-    right = found.select(F.col("cls").alias("b"), F.col("size").alias("nb"), F.col("sketch").alias("y"))
-    apart = sum((F.bit_count(F.col("x")[i].bitwiseXOR(F.col("y")[i])) for i in range(1, SKETCH)), F.bit_count(F.col("x")[0].bitwiseXOR(F.col("y")[0])))
-    return pairs.join(left, "a").join(right, "b").where(apart * (100 + LEAST) <= (F.col("na") + F.col("nb")) * (100 - LEAST)).select("a", "b")
+
+def _possible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (a, b) of classes whose sketches do not rule them out."""
+    left = classes.select(F.col("cls").alias("a"), F.col("size").alias("na"), F.col("sketch").alias("x"))
+    right = classes.select(F.col("cls").alias("b"), F.col("size").alias("nb"), F.col("sketch").alias("y"))
+    near = _apart("x", "y", SKETCH) * (100 + LEAST) <= (F.col("na") + F.col("nb")) * (100 - LEAST)
+    return pairs.join(left, "a").join(right, "b").where(near).select("a", "b")
 
 
 def _verified(pairs: DataFrame, found: DataFrame) -> DataFrame:
@@ -265,6 +273,16 @@ def _verified(pairs: DataFrame, found: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(both * 100 >= (F.size("x") + F.size("y") - both) * LEAST).select("a", "b")
 
 
+def _led(members: DataFrame, order: Column) -> DataFrame:
+    """Pairs (a, b): each class with the leader, the greatest in order, of most of its signature groups.
+
+    members is (signature, cls, component); leaders of a class's own component do not count.
+    """
+    lead = members.groupBy("signature").agg(F.max_by(F.struct(F.col("cls").alias("lead"), F.col("component").alias("of")), order).alias("l"))
+    votes = members.join(lead, "signature").where(F.col("component") != F.col("l.of")).groupBy("cls", F.col("l.lead").alias("lead")).agg(F.count("*").alias("n"))
+    return votes.groupBy(F.col("cls").alias("a")).agg(F.max_by("lead", F.struct("n", "lead")).alias("b"))
+
+
 def connect(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_shingles, component_id): the set size of every document and the smallest key that links reach.
 
@@ -275,40 +293,55 @@ def connect(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str =
     """
     ids = scratch.keep(_ids(docs, key, text), "ids")
     worded = ids.where(F.col("cls").isNotNull() & F.col("key").isNotNull())
-    classes = scratch.keep(worded.groupBy("cls").agg(F.min("key").alias("first"), F.max("size").alias("size")), "classes")
+    classes = scratch.keep(worded.groupBy("cls").agg(F.min("key").alias("first"), F.first("size").alias("size"), F.first("sketch").alias("sketch")), "classes")
     total = classes.agg(F.sum("size")).first()[0] or 0
     keyed = docs.where(F.col(key).isNotNull())
     groups = scratch.keep(_groups(keyed, text, max(64, -(-int(total * 0.36) // BUCKET))), "groups")
 
+    # the sets of all classes that share a signature, lying by class so that pairs move to them
     needed = groups.select("cls").distinct().join(classes, "cls").select(F.col("cls").alias("_cls"), F.col("first").alias("_first"))
     texts = keyed.select(F.col(key).cast("long").alias("_key"), F.col(text).alias("_text")).join(needed, F.col("_key") == F.col("_first"))
     names = needed.select(F.col("_cls").alias("cls"), F.col("_first").alias("key"))
-    found = sets(texts, "_key", "_text").join(names, ["cls", "key"])
-    found = scratch.keep(found.select("cls", F.size("shingles").alias("size"), "sketch", "shingles"), "sets")
-
-    votes = groups.where("cls <> lead").groupBy("cls", "lead").agg(F.count("*").alias("n"))
-    led = votes.groupBy("cls").agg(F.max_by("lead", F.struct("n", -F.col("lead"))).alias("lead"))
-    edges = scratch.keep(_verified(led.select(F.col("cls").alias("a"), F.col("lead").alias("b")), found), "edges1")
-    labels = components(edges, scratch, "first")
-
-    named = groups.select("signature", "cls").join(labels.withColumnRenamed("node", "cls"), "cls", "left")
-    named = scratch.keep(named.select("signature", "cls", F.coalesce("component", "cls").alias("component")), "named")
-    mixed = named.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("signature")
-    sized = named.join(mixed, "signature", "left_semi").join(classes.select("cls", "size"), "cls")
-    sized = scratch.keep(sized, "mixed")
-    one = sized.select("signature", F.col("cls").alias("a"), F.col("component").alias("ca"), F.col("size").alias("na"))
-    two = sized.select("signature", F.col("cls").alias("b"), F.col("component").alias("cb"), F.col("size").alias("nb"))
-    near = (F.col("na") * 100 >= F.col("nb") * LEAST) & (F.col("nb") * 100 >= F.col("na") * LEAST)
-    pairs = one.join(two, "signature").where((F.col("ca") < F.col("cb")) & near).select("a", "b").distinct()
-    pairs = scratch.keep(_possible(scratch.keep(pairs, "pairs"), found), "possible")
-    more = scratch.keep(_verified(pairs, found), "edges2")
-    if more.limit(1).count():
-        labels = components(edges.unionByName(more), scratch, "second")
+    found = scratch.bucketed(sets(texts, "_key", "_text").join(names, ["cls", "key"]).select("cls", "shingles"), "sets", "cls")
+
+    # first round: leaders are the classes that share most signatures with others, so the middle of a group of copies
+    weight = groups.groupBy("cls").agg(F.sum("n").alias("weight"))
+    members = groups.select("signature", "cls").join(weight, "cls").withColumn("component", F.col("cls"))
+    pairs = scratch.keep(_led(members, F.struct("weight", "cls")), "pairs0")
+    edges = [scratch.keep(_verified(_possible(pairs, classes), found), "edges0")]
+    labels = components(edges[0], scratch, "labels0")
+    for turn in range(1, TURNS + 1):
+        named = groups.select("signature", "cls").join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+        mixed = scratch.keep(_mixed(named), f"mixed{turn}")
+        if turn < TURNS:
+            pairs = _led(mixed, F.xxhash64(F.lit(turn), "cls"))
+        else:  # whatever is left: all pairs of different groups that a signature joins and sketches do not rule out
+            some = classes.select("cls", "size", F.slice("sketch", 1, 4).alias("sketch"))
+            sized = mixed.join(some, "cls")
+            one, two = (sized.select("signature", *(F.col(c).alias(f"{c}{i}") for c in ("cls", "component", "size", "sketch"))) for i in (1, 2))
+            near = (F.col("size1") * 100 >= F.col("size2") * LEAST) & (F.col("size2") * 100 >= F.col("size1") * LEAST)
+            near = near & (_apart("sketch1", "sketch2", 4) * (100 + LEAST) <= (F.col("size1") + F.col("size2")) * (100 - LEAST))
+            pairs = one.join(two, "signature").where((F.col("component1") < F.col("component2")) & near).select(F.col("cls1").alias("a"), F.col("cls2").alias("b")).distinct()
+        pairs = scratch.keep(pairs, f"pairs{turn}")
+        edges.append(scratch.keep(_verified(_possible(pairs, classes), found), f"edges{turn}"))
+        scratch.drop(f"mixed{turn}")
+        if edges[-1].limit(1).count():
+            every = edges[0]
+            for more in edges[1:]:
+                every = every.unionByName(more)
+            labels = components(every, scratch, f"labels{turn}")
+    scratch.drop("sets", "groups")
 
     of = classes.join(labels.withColumnRenamed("node", "cls"), "cls", "left").select("cls", "first", F.coalesce("component", "cls").alias("component"))
     of = scratch.keep(of, "of")
     smallest = of.groupBy("component").agg(F.min("first").alias("component_id"))
     told = of.join(smallest, "component").select("cls", "component_id")
-    result = ids.join(told, "cls", "left")
+    result = ids.select("key", "size", "cls").join(told, "cls", "left")
     own = F.when(F.col("key").isNotNull(), F.coalesce("component_id", "key"))
     return result.select(F.col("key").alias(key), F.col("size").alias("n_shingles"), own.alias("component_id"))
+
+
+def _mixed(named: DataFrame) -> DataFrame:
+    """(signature, cls, component) of signatures that join different components."""
+    mixed = named.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("signature")
+    return named.select("signature", "cls", "component").join(mixed, "signature", "left_semi")

@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from postalith.llm import embeddings, html, language, lines, media, mixing, ngram_join, packing, quality, warc
 from postalith.llm.common import Scratch
+from postalith.ship import ship
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
