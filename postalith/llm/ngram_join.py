@@ -37,8 +37,8 @@ SEEDS = 4
 BUCKET = 1 << 18
 #: 64-bit numbers in a sketch.
 SKETCH = 16
-#: Rounds after the first: all but the last compare with other leaders.
-TURNS = 2
+#: Rounds after the first: all but the last compare with leaders drawn anew.
+TURNS = 1
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _SPACE = np.zeros(256, dtype=bool)
@@ -298,17 +298,22 @@ def connect(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str =
     keyed = docs.where(F.col(key).isNotNull())
     groups = scratch.keep(_groups(keyed, text, max(64, -(-int(total * 0.36) // BUCKET))), "groups")
 
-    # the sets of all classes that share a signature, lying by class so that pairs move to them
-    needed = groups.select("cls").distinct().join(classes, "cls").select(F.col("cls").alias("_cls"), F.col("first").alias("_first"))
-    texts = keyed.select(F.col(key).cast("long").alias("_key"), F.col(text).alias("_text")).join(needed, F.col("_key") == F.col("_first"))
-    names = needed.select(F.col("_cls").alias("cls"), F.col("_first").alias("key"))
-    found = scratch.bucketed(sets(texts, "_key", "_text").join(names, ["cls", "key"]).select("cls", "shingles"), "sets", "cls")
+    def verified(pairs: DataFrame, name: str) -> DataFrame:
+        """The pairs whose sets are similar enough; only their classes' texts are read again."""
+        named = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
+        needed = scratch.keep(named.join(classes.select("cls", "first"), "cls"), f"needed-{name}")
+        texts = keyed.select(F.col(key).cast("long").alias("_key"), F.col(text).alias("_text")).join(needed.select(F.col("first").alias("_first")).distinct(), F.col("_key") == F.col("_first"))
+        found = sets(texts.select("_key", "_text"), "_key", "_text").join(needed.withColumnRenamed("first", "key"), ["cls", "key"])
+        found = scratch.keep(found.select("cls", "shingles"), f"sets-{name}")
+        kept = scratch.keep(_verified(pairs, found), name)
+        scratch.drop(f"sets-{name}")
+        return kept
 
     # first round: leaders are the classes that share most signatures with others, so the middle of a group of copies
     weight = groups.groupBy("cls").agg(F.sum("n").alias("weight"))
     members = groups.select("signature", "cls").join(weight, "cls").withColumn("component", F.col("cls"))
-    pairs = scratch.keep(_led(members, F.struct("weight", "cls")), "pairs0")
-    edges = [scratch.keep(_verified(_possible(pairs, classes), found), "edges0")]
+    pairs = scratch.keep(_possible(_led(members, F.struct("weight", "cls")), classes), "pairs0")
+    edges = [verified(pairs, "edges0")]
     labels = components(edges[0], scratch, "labels0")
     for turn in range(1, TURNS + 1):
         named = groups.select("signature", "cls").join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
@@ -316,21 +321,20 @@ def connect(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str =
         if turn < TURNS:
             pairs = _led(mixed, F.xxhash64(F.lit(turn), "cls"))
         else:  # whatever is left: all pairs of different groups that a signature joins and sketches do not rule out
-            some = classes.select("cls", "size", F.slice("sketch", 1, 4).alias("sketch"))
-            sized = mixed.join(some, "cls")
+            sized = mixed.join(classes.select("cls", "size", "sketch"), "cls")
             one, two = (sized.select("signature", *(F.col(c).alias(f"{c}{i}") for c in ("cls", "component", "size", "sketch"))) for i in (1, 2))
             near = (F.col("size1") * 100 >= F.col("size2") * LEAST) & (F.col("size2") * 100 >= F.col("size1") * LEAST)
-            near = near & (_apart("sketch1", "sketch2", 4) * (100 + LEAST) <= (F.col("size1") + F.col("size2")) * (100 - LEAST))
+            near = near & (_apart("sketch1", "sketch2", SKETCH) * (100 + LEAST) <= (F.col("size1") + F.col("size2")) * (100 - LEAST))
             pairs = one.join(two, "signature").where((F.col("component1") < F.col("component2")) & near).select(F.col("cls1").alias("a"), F.col("cls2").alias("b")).distinct()
-        pairs = scratch.keep(pairs, f"pairs{turn}")
-        edges.append(scratch.keep(_verified(_possible(pairs, classes), found), f"edges{turn}"))
+        pairs = scratch.keep(pairs if turn == TURNS else _possible(pairs, classes), f"pairs{turn}")
+        edges.append(verified(pairs, f"edges{turn}"))
         scratch.drop(f"mixed{turn}")
         if edges[-1].limit(1).count():
             every = edges[0]
             for more in edges[1:]:
                 every = every.unionByName(more)
             labels = components(every, scratch, f"labels{turn}")
-    scratch.drop("sets", "groups")
+    scratch.drop("groups")
 
     of = classes.join(labels.withColumnRenamed("node", "cls"), "cls", "left").select("cls", "first", F.coalesce("component", "cls").alias("component"))
     of = scratch.keep(of, "of")
