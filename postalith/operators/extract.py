@@ -13,6 +13,7 @@ from postalith.operators import records as rec
 from postalith.operators import spatial as sp
 from postalith.plans.config import MIN_ADDRESS_EVIDENCE, Country, Source
 from postalith.plans.schema import BOUNDARY, FALLBACK, IDENTITY
+from postalith.store import held
 
 
 class ExtractionError(RuntimeError):
@@ -132,7 +133,7 @@ def extract(objects: DataFrame, c: Country, source: Source | None = None, min_ev
     """Records of a country from map objects (seq, kind, tags, rings, px, py)."""
     if source is not None and source.country != c.code:
         raise ValueError(f"source {source.name} belongs to {source.country}, not {c.code}")
-    objects = classify(objects, c).cache()
+    objects = held(classify(objects, c))
     shapes = lambda kind: objects.where(F.array_contains("kinds", kind)).where(F.size("rings") > 0)
     names = F.create_map(*[F.lit(x) for item in c.states.items() for x in item])
 
@@ -159,27 +160,27 @@ def extract(objects: DataFrame, c: Country, source: Source | None = None, min_ev
     # addresses
     asked = address_candidates(objects, c)
     aggregates, dropped = ev.addresses(asked.where("ok").select("seq", "code", "city", "state_code", "px", "py"))
-    aggregates = aggregates.withColumn("akey", F.struct("code", "city")).cache()
+    aggregates = held(aggregates.withColumn("akey", F.struct("code", "city")))
     pointed = aggregates.where(F.col("px").isNotNull()).select("akey", "px", "py")
     touching = sp.covering(pointed, states.select(F.col("state_code"), "rings")).select("akey", "state_code")
-    agreed = tag_agrees(aggregates, "akey", touching, c, source).cache()
+    agreed = held(tag_agrees(aggregates, "akey", touching, c, source))
     inside = sp.any_covers(pointed, "akey", country).withColumn("_inside", F.lit(True))
-    kept = agreed.where("agrees").join(inside, "akey", "left").withColumn("inside", F.coalesce("_inside", F.col("px").isNull()))
+    kept = held(agreed.where("agrees").join(inside, "akey", "left").withColumn("inside", F.coalesce("_inside", F.col("px").isNull())))
     located = place(kept.where("inside and px is not null").select("akey", "px", "py"), "akey").select("akey", "state", "county", "may_infer")
     told = kept.where("inside").join(located, "akey", "left")
     fill = F.lit(inferred != "") & (F.col("state") == "") & F.col("may_infer")
     told = told.withColumn("inferred", F.coalesce(fill, F.lit(False)))
     told = told.withColumn("state", F.when(F.col("inferred"), F.lit(inferred)).otherwise(F.coalesce("state", F.lit("")))).withColumn("county", F.coalesce("county", F.lit("")))
-    evidence = told.groupBy("code", "city", "state", "county").agg(F.sum("n").alias("n"), F.bool_or("inferred").alias("inferred")).cache()
+    evidence = held(told.groupBy("code", "city", "state", "county").agg(F.sum("n").alias("n"), F.bool_or("inferred").alias("inferred")))
 
     # postal areas
     candidates = postal_candidates(objects, c)
-    areas = candidates.where("ok").select(F.col("seq").alias("akey"), "code", "cities", "state_code", "rings", "px", "py").cache()
+    areas = held(candidates.where("ok").select(F.col("seq").alias("akey"), "code", "cities", "state_code", "rings", "px", "py"))
     within = sp.any_covers(areas.where(F.col("px").isNotNull()), "akey", country)
     over = sp.overlapping(areas.select("akey", "rings"), states.select(F.struct("state_code", "name").alias("bkey"), "rings"))
-    over = over.select("akey", F.col("bkey.state_code").alias("state_code"), F.col("bkey.name").alias("state")).cache()
+    over = held(over.select("akey", F.col("bkey.state_code").alias("state_code"), F.col("bkey.name").alias("state")))
     judged = tag_agrees(areas, "akey", over.select("akey", "state_code"), c, source).join(within.withColumn("_within", F.lit(True)), "akey", "left")
-    accepted = judged.where(F.col("_within") & F.col("agrees")).drop("_within", "agrees").cache()
+    accepted = held(judged.where(F.col("_within") & F.col("agrees")).drop("_within", "agrees"))
     none = F.array().cast("array<string>")
     spatial = over.groupBy("akey").agg(F.array_sort(F.collect_set("state")).alias("states"))
     near = sp.overlapping(areas.select("akey", "rings"), counties.select(F.col("name").alias("bkey"), "rings")).groupBy("akey").agg(F.array_sort(F.collect_set("bkey")).alias("counties"))
@@ -188,7 +189,7 @@ def extract(objects: DataFrame, c: Country, source: Source | None = None, min_ev
     rows = rows.withColumn("states", F.coalesce("states", none)).withColumn("counties", F.coalesce("counties", none))
     rows = rows.withColumn("filled", F.lit(inferred != "") & (F.size("states") == 0) & F.col("_excluded").isNull())
     rows = rows.withColumn("states", F.when(F.col("filled"), F.array(F.lit(inferred))).otherwise(F.col("states")))
-    wide = ev.expand(rows.select("code", "cities", "states", "counties", "filled"), evidence.select("code", "city", "state", "county", "n"))
+    wide = ev.expand(held(rows).select("code", "cities", "states", "counties", "filled"), evidence.select("code", "city", "state", "county", "n"))
     tagged = evidence.where("inferred").select("code", "city", "state", "county").withColumn("_tagged", F.lit(True))
     wide = wide.join(tagged, ["code", "city", "state", "county"], "left")
     from_areas = wide.select("code", "city", "state", "county", F.lit(BOUNDARY).alias("source"), F.col("n").alias("evidence_count"),
@@ -196,7 +197,7 @@ def extract(objects: DataFrame, c: Country, source: Source | None = None, min_ev
     fallback = ev.without(ev.at_least(evidence, min_evidence), accepted, "code")
     from_addresses = fallback.select("code", "city", "state", "county", F.lit(FALLBACK).alias("source"), F.col("n").alias("evidence_count"), "inferred")
     every = from_areas.unionByName(from_addresses).withColumn("country", F.lit(c.code)).withColumn("time_zone", F.lit(c.time_zone))
-    every = every.withColumn("evidence_count", F.col("evidence_count").cast("int")).cache()
+    every = held(every.withColumn("evidence_count", F.col("evidence_count").cast("int")))
     found = rec.dedupe(every.drop("inferred"))
     if not every.limit(1).count():
         raise ExtractionError("extraction produced zero valid records")
@@ -206,7 +207,7 @@ def extract(objects: DataFrame, c: Country, source: Source | None = None, min_ev
     lost = count(asked.where("not ok")) + count(dropped) + count(candidates.where("not ok"))
     lost += agreed.where("not agrees").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     lost += count(kept.where("not inside")) + count(areas) - count(accepted)
-    seen = objects.where("state_code <> ''").agg(F.array_sort(F.collect_set("state_code"))).first()[0]  # codes of one country's states
+    seen = objects.where(F.arrays_overlap("kinds", F.array(F.lit("state"), F.lit("unknown_state")))).agg(F.array_sort(F.collect_set("state_code"))).first()[0]  # codes of one country's states
     return Extraction(
         found, count(areas), aggregates.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0], lost,
         every.where("inferred").select(*IDENTITY).distinct().count(), tuple(seen),
