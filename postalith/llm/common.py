@@ -2,37 +2,17 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postalith.ship import ship
+from postalith.store import shared_dir
 
 #: The white space that separates words in every word-based operator.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share, named by spark.checkpoint.dir.
-
-    Where the setting is absent (as in tests on one machine) a temporary folder stands in for it.
-    """
-    ship(spark)
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if named:
-        return named.rstrip("/")
-    global _own
-    if _own is None:
-        _own = tempfile.mkdtemp(prefix="postalith-")
-        atexit.register(shutil.rmtree, _own, True)
-    return f"file://{_own}"
-
-
-_own: str | None = None
 _stages: dict[str, Scratch] = {}
 
 

@@ -16,8 +16,10 @@ from pyspark.sql import functions as F
 
 from postalith.llm.common import Scratch, components
 
-#: Lines of fewer words are left alone; longer lines than MOST are compared in pieces of that many words.
+#: Lines of fewer than FEWEST words are left alone; longer lines than MOST are compared in pieces of that many words.
 FEWEST, MOST = 5, 16_000
+#: Lines of fewer words are compared for equality alone: one changed word moves too many of their few features.
+FUZZY = 12
 #: Bits in which fingerprints may differ; least similarity: 1 - distance / length of the longer.
 BITS, SIMILAR = 3, 0.8
 #: A length band is this wide, as a ratio.
@@ -50,7 +52,8 @@ def _majority(count: Column) -> Column:
 
 
 def compared(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """A row for every line of enough words: key, mark (hash of the text), at (line number from 0), line (hash), norm.
+    """A row for every line of enough words: key, mark (hash of the text), at (line number from 0), line (hash), and
+    norm where it is long enough for a fingerprint.
 
     Lines of more than MOST words give a row for each piece; pieces tells how many, piece which.
     """
@@ -60,9 +63,9 @@ def compared(docs: DataFrame, key: str, text: str) -> DataFrame:
     split = F.split("whole", " ")
     cut = F.transform(F.sequence(F.lit(1), F.size(split), F.lit(MOST)), lambda i: F.array_join(F.slice(split, i, F.lit(MOST)), " "))
     pieces = F.when(words > MOST, cut).when(words >= FEWEST, F.array("whole"))
-    rows = rows.select("key", "mark", "at", pieces.alias("cut"))
-    rows = rows.select("key", "mark", "at", F.size("cut").alias("pieces"), F.posexplode("cut").alias("piece", "norm"))
-    return rows.withColumn("line", F.xxhash64("norm"))
+    rows = rows.select("key", "mark", "at", pieces.alias("cut"), (words >= FUZZY).alias("fuzzy"))
+    rows = rows.select("key", "mark", "at", "fuzzy", F.size("cut").alias("pieces"), F.posexplode("cut").alias("piece", "norm"))
+    return rows.withColumn("line", F.xxhash64("norm")).withColumn("norm", F.when(F.col("fuzzy"), F.col("norm"))).drop("fuzzy")
 
 
 def _apart(a: str, b: str) -> Column:
@@ -100,7 +103,7 @@ def groups(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "
     """Two tables: places (key, mark, at, pieces, piece, line) of all lines compared, and (node, component) of lines with near ones."""
     rows = scratch.keep(compared(docs, key, text), "rows", compression="zstd")
     places = scratch.keep(rows.drop("norm"), "places")
-    once = rows.groupBy("line").agg(F.first("norm").alias("norm"))
+    once = rows.where(F.col("norm").isNotNull()).groupBy("line").agg(F.first("norm").alias("norm"))
     # bucketed by line: neither the words' aggregation nor the joins of pairs with their texts move the texts again
     texts = scratch.bucketed(once, "texts", "line")
     scratch.drop("rows")

@@ -165,15 +165,21 @@ def signatures(h: np.ndarray) -> np.ndarray:
     return _mix(np.concatenate(found)) if found else np.zeros(0, np.uint64)
 
 
-def sketch(h: np.ndarray) -> np.ndarray:
-    """Whether an odd number of elements fall on each of 1024 bits, as 16 numbers.
+def sketch(h: np.ndarray, numbers: int = SKETCH) -> np.ndarray:
+    """Whether an odd number of elements fall on each bit of so many 64-bit numbers.
 
-    Sketches of two sets differ in no more bits than the sets in elements, so they rule pairs out without error.
+    Sketches of two sets differ in no more bits than the sets in elements, so they rule pairs out without error. Half
+    as long a sketch is one half of the numbers xor the other.
     """
-    odd = np.bincount((h & np.uint64(64 * SKETCH - 1)).astype(np.int64), minlength=64 * SKETCH) & 1
+    odd = np.bincount((h & np.uint64(64 * numbers - 1)).astype(np.int64), minlength=64 * numbers) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def wide_sketch(h: np.ndarray) -> np.ndarray:
+    """A sketch of about two to four bits an element, which large sets need."""
+    return sketch(h, max(SKETCH, 1 << max(0, len(h) // 32).bit_length()))
+
+
 def sets(docs: DataFrame, key: str, text: str) -> DataFrame:
     """key, cls, shingles of every document with a word."""
 
@@ -194,13 +200,13 @@ def _ids(docs: DataFrame, key: str, text: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in (whole.slice(a, 1024) for a in range(0, whole.num_rows, 1024)):
-                size, name, odd = [], [], []
+                size, name, odd, wide = [], [], [], []
                 for t in batch.column(1):
                     h = shingles(t.as_py())
-                    size.append(len(h)), name.append(class_of(h) if len(h) else None), odd.append(sketch(h) if len(h) else None)
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int64()), pa.array(name, pa.int64()), pa.array(odd, pa.list_(pa.int64()))], names=["key", "size", "cls", "sketch"])
+                    size.append(len(h)), name.append(class_of(h) if len(h) else None), odd.append(sketch(h) if len(h) else None), wide.append(wide_sketch(h) if len(h) else None)
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int64()), pa.array(name, pa.int64()), *(pa.array(x, pa.list_(pa.int64())) for x in (odd, wide))], names=["key", "size", "cls", "sketch", "wide"])
 
-    return docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text")).mapInArrow(run, "key long, size long, cls long, sketch array<long>")
+    return docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text")).mapInArrow(run, "key long, size long, cls long, sketch array<long>, wide array<long>")
 
 
 def _groups(docs: DataFrame, text: str, buckets: int) -> DataFrame:
@@ -258,11 +264,15 @@ def _apart(x: str, y: str, numbers: int) -> Column:
 
 
 def _possible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs (a, b) of classes whose sketches do not rule them out."""
-    left = classes.select(F.col("cls").alias("a"), F.col("size").alias("na"), F.col("sketch").alias("x"))
-    right = classes.select(F.col("cls").alias("b"), F.col("size").alias("nb"), F.col("sketch").alias("y"))
-    near = _apart("x", "y", SKETCH) * (100 + LEAST) <= (F.col("na") + F.col("nb")) * (100 - LEAST)
-    return pairs.join(left, "a").join(right, "b").where(near).select("a", "b")
+    """The pairs (a, b) of classes whose wide sketches do not rule them out; the longer one is folded to the shorter."""
+    left = classes.select(F.col("cls").alias("a"), F.col("size").alias("na"), F.col("wide").alias("x"))
+    right = classes.select(F.col("cls").alias("b"), F.col("size").alias("nb"), F.col("wide").alias("y"))
+    half = lambda c, n: F.zip_with(F.slice(c, 1, n), F.slice(c, n + 1, n), lambda u, v: u.bitwiseXOR(v))
+    fold = lambda c, other: F.when(F.size(c) > F.size(other), half(c, F.size(other))).otherwise(F.col(c))
+    bits = F.aggregate(F.zip_with("u", "v", lambda u, v: F.bit_count(u.bitwiseXOR(v))), F.lit(0), lambda n, x: n + x)
+    met = pairs.join(left, "a").join(right, "b").where(F.least(F.size("x"), F.size("y")) * 2 >= F.greatest(F.size("x"), F.size("y")))
+    met = met.select("a", "b", "na", "nb", fold("x", "y").alias("u"), fold("y", "x").alias("v"))
+    return met.where(bits * (100 + LEAST) <= (F.col("na") + F.col("nb")) * (100 - LEAST)).select("a", "b")
 
 
 def _verified(pairs: DataFrame, found: DataFrame) -> DataFrame:
@@ -293,7 +303,7 @@ def connect(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str =
     """
     ids = scratch.keep(_ids(docs, key, text), "ids")
     worded = ids.where(F.col("cls").isNotNull() & F.col("key").isNotNull())
-    classes = scratch.keep(worded.groupBy("cls").agg(F.min("key").alias("first"), F.first("size").alias("size"), F.first("sketch").alias("sketch")), "classes")
+    classes = scratch.keep(worded.groupBy("cls").agg(F.min("key").alias("first"), F.first("size").alias("size"), F.first("sketch").alias("sketch"), F.first("wide").alias("wide")), "classes")
     total = classes.agg(F.sum("size")).first()[0] or 0
     keyed = docs.where(F.col(key).isNotNull())
     groups = scratch.keep(_groups(keyed, text, max(64, -(-int(total * 0.36) // BUCKET))), "groups")
@@ -326,7 +336,7 @@ def connect(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str =
             near = (F.col("size1") * 100 >= F.col("size2") * LEAST) & (F.col("size2") * 100 >= F.col("size1") * LEAST)
             near = near & (_apart("sketch1", "sketch2", SKETCH) * (100 + LEAST) <= (F.col("size1") + F.col("size2")) * (100 - LEAST))
             pairs = one.join(two, "signature").where((F.col("component1") < F.col("component2")) & near).select(F.col("cls1").alias("a"), F.col("cls2").alias("b")).distinct()
-        pairs = scratch.keep(pairs if turn == TURNS else _possible(pairs, classes), f"pairs{turn}")
+        pairs = scratch.keep(_possible(scratch.keep(pairs, f"met{turn}"), classes), f"pairs{turn}")
         edges.append(verified(pairs, f"edges{turn}"))
         scratch.drop(f"mixed{turn}")
         if edges[-1].limit(1).count():
