@@ -13,6 +13,8 @@ from postalith.store import shared_dir
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Scratch tables are read once or twice: they are not worth much time to compress.
+_QUICK = ("parquet.compression.codec.zstd.level", "1")
 _stages: dict[str, Scratch] = {}
 
 
@@ -43,14 +45,14 @@ class Scratch:
         return f"{self.root}/{name}"
 
     def keep(self, df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
-        df.write.mode("overwrite").option("compression", compression).parquet(self.path(name))
+        df.write.mode("overwrite").option("compression", compression).option(*_QUICK).parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def bucketed(self, df: DataFrame, name: str, key: str) -> DataFrame:
         """A table whose rows lie by the hash of a key: joins and aggregations on it need not move them."""
         count = max(1, int(self.spark.conf.get("spark.sql.shuffle.partitions")))
         table = f"postalith_{uuid.uuid4().hex}"
-        where = df.repartition(count, key).write.bucketBy(count, key).option("compression", "zstd").option("path", self.path(name))
+        where = df.repartition(count, key).write.bucketBy(count, key).option("compression", "zstd").option(*_QUICK).option("path", self.path(name))
         where.saveAsTable(table)
         self.tables[name] = table
         return self.spark.table(table)

@@ -3,7 +3,7 @@
 Lines are normalised and equal ones become one. Each gets a 60-bit SimHash of its words: fifteen sums of spread bits,
 four 15-bit counters to a number, so that one aggregation without Python counts all 60 bits. Fingerprints that differ
 in at most three bits share one of four 15-bit blocks; lines that do, of similar length, are compared by edit
-distance, and one occurrence of each connected group stays.
+distance over words, and one occurrence of each connected group stays.
 
 Lines are first compared with the leader of those that share two blocks. What connects so is one group; after that
 only lines of different groups are compared, so a line with thousands of variants costs about one comparison each.
@@ -20,7 +20,7 @@ from postalith.llm.common import Scratch, components
 FEWEST, MOST = 5, 16_000
 #: Lines of fewer words are compared for equality alone: one changed word moves too many of their few features.
 FUZZY = 12
-#: Bits in which fingerprints may differ; least similarity: 1 - distance / length of the longer.
+#: Bits in which fingerprints may differ; least similarity: 1 - distance / words of the longer.
 BITS, SIMILAR = 3, 0.8
 #: A length band is this wide, as a ratio.
 BAND = 2.0
@@ -29,6 +29,8 @@ BAND = 2.0
 _FIELD = 15
 _ONES = sum(1 << _FIELD * j for j in range(4))
 _TOP = 1 << (_FIELD - 1)
+#: Letters that stand for words: those of the basic plane from 256 on, before the surrogates.
+_LETTERS = 0xD800 - 256
 
 
 def normal(line: Column) -> Column:
@@ -89,25 +91,32 @@ def _blocks(prints: DataFrame) -> DataFrame:
     return wide.select(*prints.columns, (F.col("of.block") * 256 + F.col("where.band")).alias("block"), F.col("of.next").alias("next"), F.col("where.visits").alias("visits"))
 
 
+def _as_letters(norm: str) -> Column:
+    """A text with one letter for each word, by a hash of the word: edit distance over words is then one over letters."""
+    code = lambda w: F.lpad(F.hex(F.pmod(F.xxhash64(w), F.lit(_LETTERS)) + 256), 4, "0")
+    return F.decode(F.unhex(F.array_join(F.transform(F.split(norm, " "), code), "")), "UTF-16BE")
+
+
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) of lines whose normal forms are similar enough."""
+    """The pairs (a, b) of lines whose edit distance, in words, leaves them similar enough."""
     left = texts.select(F.col("line").alias("a"), F.col("norm").alias("x"))
     right = texts.select(F.col("line").alias("b"), F.col("norm").alias("y"))
-    longer = F.greatest(F.length("x"), F.length("y"))
-    most = F.floor(longer * (1 - SIMILAR) + 1e-9).cast("int")
-    both = pairs.join(left, "a").join(right, "b").withColumn("most", most)
+    # few pairs meet many texts: hashing the pairs' partitions spares sorting the texts
+    both = left.join(pairs.hint("shuffle_hash"), "a").select("a", "b", _as_letters("x").alias("x"))
+    both = right.join(both.hint("shuffle_hash"), "b").select("a", "b", "x", _as_letters("y").alias("y"))
+    both = both.withColumn("most", F.floor(F.greatest(F.length("x"), F.length("y")) * (1 - SIMILAR) + 1e-9).cast("int"))
     return both.where(F.expr("levenshtein(x, y, most) >= 0")).select("a", "b")
 
 
 def groups(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """Two tables: places (key, mark, at, pieces, piece, line) of all lines compared, and (node, component) of lines with near ones."""
     rows = scratch.keep(compared(docs, key, text), "rows", compression="zstd")
-    places = scratch.keep(rows.drop("norm"), "places")
+    places = rows.drop("norm")
     once = rows.where(F.col("norm").isNotNull()).groupBy("line").agg(F.first("norm").alias("norm"))
     # bucketed by line: neither the words' aggregation nor the joins of pairs with their texts move the texts again
     texts = scratch.bucketed(once, "texts", "line")
-    scratch.drop("rows")
-    word = texts.select("line", F.length("norm").alias("length"), F.explode(F.split("norm", " ")).alias("word"))
+    # each word counts once: else a line's commonest words settle most bits, and lines of one language are all alike
+    word = texts.select("line", F.length("norm").alias("length"), F.explode(F.array_distinct(F.split("norm", " "))).alias("word"))
     sums = word.groupBy("line").agg(F.count("*").alias("n"), F.first("length").alias("length"), *_sums(F.col("word")))
     prints = scratch.keep(sums.select("line", _majority(F.col("n")).alias("print"), "length"), "prints")
 
