@@ -3,7 +3,7 @@
 Each source's target gives its documents one inclusion rate; its whole part is taken outright and its fraction is an
 inclusion probability. The flight phase moves probabilities within the null space of two constraints, the totals of
 words and of documents, until each is 0 or 1 but for at most two in a group. Three probabilities are in flight at a
-time. Groups have bounded size; what they leave, with a few small documents held back, meets again in groups of the
+time. Groups have bounded size; what they leave, with a few documents held back, meets again in groups of the
 next level. When a source has one group left, it lands: the document total is dropped, the held-back small documents
 balance the words of what is open, and the last one is decided by lot.
 """
@@ -21,8 +21,8 @@ from postalith.llm.common import WORD, Scratch, global_rank
 
 #: Documents of a group; a source has as many groups as it takes.
 GROUP = 4096
-#: Landing holds back the smallest units up to COVER times the largest one's words; a level hands on RESERVE small units.
-COVER, RESERVE = 6, 16
+#: Landing holds back the smallest units up to COVER times the largest one's words; a level hands on RESERVE units.
+COVER, RESERVE = 6, 32
 #: Landings drawn, of which the nearest counts.
 TRIES = 8
 _NEAR = 1e-9
@@ -120,19 +120,21 @@ def _fly(units: list[list], rng: np.random.Generator) -> list[list]:
 def flight(units: list[list], rng: np.random.Generator, land: bool) -> None:
     """Decide the probabilities of a group's units [row, p, documents, words], given in a random order.
 
-    The smallest units are held back: they land with what the flight leaves. Without landing they stay open for the
-    next level. Landing drops the document total, goes from large to small, and draws a lot for the last one.
+    Some units are held back, to land with what the flight leaves: the smallest ones, or, without landing, about
+    RESERVE of all sizes, which stay open for the next level. Landing drops the document total, goes from large to small, and draws a lot for the last one.
     """
     by_size = sorted((x for x in units if x[1] not in (0.0, 1.0)), key=lambda x: x[3])
     if not by_size:
         return
-    enough, last = COVER * by_size[-1][3] if land else float("inf"), len(by_size) if land else RESERVE
     back, words = set(), 0
-    for x in by_size[:last]:
-        if words > enough:
-            break
-        back.add(id(x))
-        words += x[3]
+    if land:
+        for x in by_size:
+            if words > COVER * by_size[-1][3]:
+                break
+            back.add(id(x))
+            words += x[3]
+    else:
+        back.update(id(x) for x in by_size[:: max(1, len(by_size) // RESERVE)])
     held = _fly([x for x in units if id(x) not in back], rng)
     if land:
         _land(sorted([*held, *(x for x in by_size if id(x) in back)], key=lambda x: -x[3]), rng)
