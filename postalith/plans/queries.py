@@ -132,14 +132,14 @@ WITH b AS (SELECT p_partkey, (37 * p_partkey % 400) / 100.0 AS x, (91 * p_partke
 o AS (SELECT p_partkey, n_nationkey,
   greatest(0, least(x + side, n_nationkey % 5 + 1) - greatest(x, n_nationkey % 5)) * greatest(0, least(y + side, n_nationkey // 5 + 1) - greatest(y, n_nationkey // 5)) / (side * side) AS ratio
   FROM b CROSS JOIN nation)
-SELECT p_partkey, n_nationkey, CAST(round(ratio * 1000) AS BIGINT) AS permille FROM o WHERE ratio >= 0.05""")
+SELECT p_partkey, n_nationkey, CAST(floor(ratio * 1000 + 1e-6) AS BIGINT) AS permille FROM o WHERE ratio >= 0.05 - 1e-9""")
 def overlap_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("p_partkey")
     boxes = t(spark, sf_dir, "part").where("p_partkey < 300")
     boxes = boxes.select(key.alias("akey"), _square((key * 37 % 400) / 100, (key * 91 % 400) / 100, 0.25 + F.col("p_size") / 100).alias("rings"))
     cells = _nation_cells(spark, sf_dir).select(F.col("seq").alias("bkey"), "rings")
-    found = sp.overlapping(boxes, cells, 0.05)
-    return found.select(F.col("akey").alias("p_partkey"), F.col("bkey").alias("n_nationkey"), F.round(F.col("ratio") * 1000).cast("long").alias("permille"))
+    found = sp.overlapping(boxes, cells, 0.05 - 1e-9)
+    return found.select(F.col("akey").alias("p_partkey"), F.col("bkey").alias("n_nationkey"), F.floor(F.col("ratio") * 1000 + 1e-6).cast("long").alias("permille"))
 
 
 @query("""
