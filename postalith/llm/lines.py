@@ -16,16 +16,16 @@ from pyspark.sql import functions as F
 
 from postalith.llm.common import Scratch, components
 
-#: Lines of fewer than FEWEST words are left alone; longer lines than MOST are compared in pieces of that many words.
-FEWEST, MOST = 5, 16_000
-#: Lines of fewer words are compared for equality alone: one changed word moves too many of their few features.
-FUZZY = 12
+#: Normal lines of fewer characters are left alone; longer lines than MOST are compared in pieces of PIECE words.
+FEWEST, MOST, PIECE = 24, 30_000, 4_000
+#: Lines of fewer characters are compared for equality alone: one changed word moves too many of their few features.
+FUZZY = 60
 #: Bits in which fingerprints may differ; least similarity: 1 - distance / words of the longer.
 BITS, SIMILAR = 3, 0.8
 #: A length band is this wide, as a ratio.
 BAND = 2.0
 
-#: Fields of 15 bits, four to a number; the last bit of each tells a majority of at most MOST words.
+#: Fields of 15 bits, four to a number; the last bit of each tells a majority of less than 16384 words.
 _FIELD = 15
 _ONES = sum(1 << _FIELD * j for j in range(4))
 _TOP = 1 << (_FIELD - 1)
@@ -54,18 +54,18 @@ def _majority(count: Column) -> Column:
 
 
 def compared(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """A row for every line of enough words: key, mark (hash of the text), at (line number from 0), line (hash), and
+    """A row for every line that is long enough: key, mark (hash of the text), at (line number from 0), line (hash), and
     norm where it is long enough for a fingerprint.
 
-    Lines of more than MOST words give a row for each piece; pieces tells how many, piece which.
+    Lines of more than MOST characters give a row for each piece; pieces tells how many, piece which.
     """
     every = F.transform(F.split(F.col(text).cast("string"), "\n"), normal)
     rows = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("mark"), F.posexplode(every).alias("at", "whole"))
-    words = F.length("whole") - F.length(F.replace(F.col("whole"), F.lit(" "), F.lit(""))) + 1
     split = F.split("whole", " ")
-    cut = F.transform(F.sequence(F.lit(1), F.size(split), F.lit(MOST)), lambda i: F.array_join(F.slice(split, i, F.lit(MOST)), " "))
-    pieces = F.when(words > MOST, cut).when(words >= FEWEST, F.array("whole"))
-    rows = rows.select("key", "mark", "at", pieces.alias("cut"), (words >= FUZZY).alias("fuzzy"))
+    cut = F.transform(F.sequence(F.lit(1), F.size(split), F.lit(PIECE)), lambda i: F.array_join(F.slice(split, i, F.lit(PIECE)), " "))
+    length = F.length("whole")
+    pieces = F.when(length > MOST, cut).when(length >= FEWEST, F.array("whole"))
+    rows = rows.select("key", "mark", "at", pieces.alias("cut"), (length >= FUZZY).alias("fuzzy"))
     rows = rows.select("key", "mark", "at", "fuzzy", F.size("cut").alias("pieces"), F.posexplode("cut").alias("piece", "norm"))
     return rows.withColumn("line", F.xxhash64("norm")).withColumn("norm", F.when(F.col("fuzzy"), F.col("norm"))).drop("fuzzy")
 
@@ -94,7 +94,8 @@ def _blocks(prints: DataFrame) -> DataFrame:
 def _as_letters(norm: str) -> Column:
     """A text with one letter for each word, by a hash of the word: edit distance over words is then one over letters."""
     code = lambda w: F.lpad(F.hex(F.pmod(F.xxhash64(w), F.lit(_LETTERS)) + 256), 4, "0")
-    return F.decode(F.unhex(F.array_join(F.transform(F.split(norm, " "), code), "")), "UTF-16BE")
+    letters = F.decode(F.unhex(F.array_join(F.transform(F.split(norm, " "), code), "")), "UTF-16BE")
+    return F.coalesce(letters, F.lit(""))  # never null: else a null check would compute it for every text before the join
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -144,7 +145,7 @@ def dedup(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "t
     """The documents with one occurrence of every line: text without the others, and removed_lines, their number.
 
     Of a group of equal or near lines the occurrence in the smallest key (null first), and there the first, stays.
-    Lines of fewer than FEWEST words, blank lines and null texts are never touched; a text that loses nothing is
+    Lines of fewer than FEWEST characters, blank lines and null texts are never touched; a text that loses nothing is
     unchanged, one that loses all is empty. Rows that repeat key and text count as one row and keep the same lines.
     A line cut in pieces goes only if all of them do. All columns stay; an earlier removed_lines is replaced.
     """
@@ -154,9 +155,13 @@ def dedup(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "t
     here = F.struct("key", "mark", "at", "piece")
     first = named.groupBy("component").agg(F.min(here).alias("first"), F.count("*").alias("n")).where("n > 1").select("component", "first")
     gone = named.join(first, "component").where(~here.eqNullSafe(F.col("first")))
-    gone = gone.groupBy("key", "mark", "at", "pieces").agg(F.countDistinct("piece").alias("n")).where("n = pieces")
-    gone = gone.groupBy(F.col("key").alias("_key"), F.col("mark").alias("_mark")).agg(F.collect_set("at").alias("_gone"))
-    gone = scratch.keep(gone, "gone")
+    part = F.struct("at", "piece", "pieces")
+    gone = gone.groupBy(F.col("key").alias("_key"), F.col("mark").alias("_mark")).agg(
+        F.collect_set(F.when(F.col("pieces") == 1, F.col("at"))).alias("one"), F.collect_set(F.when(F.col("pieces") > 1, part)).alias("some")
+    )
+    whole = F.filter("some", lambda x: F.size(F.filter("some", lambda y: y["at"] == x["at"])) == x["pieces"])
+    gone = gone.select("_key", "_mark", F.array_union("one", F.transform(whole, lambda x: x["at"])).alias("_gone"))
+    gone = scratch.keep(gone.where(F.size("_gone") > 0), "gone")
     same = F.col(key).eqNullSafe(F.col("_key")) & (F.xxhash64(text) == F.col("_mark"))
     left = F.filter(F.split(F.col(text), "\n"), lambda x, i: ~F.array_contains("_gone", i))
     found = docs.drop("removed_lines").join(gone, same, "left")

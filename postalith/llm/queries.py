@@ -114,4 +114,29 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_packing": op10_packing,
 }
 
-ORACLE: dict[str, str] = {}
+_REACH = """
+reach AS (SELECT id AS node, id AS low FROM nodes UNION SELECT links.b, reach.low FROM reach JOIN links ON links.a = reach.node),
+lows AS (SELECT node, min(low) AS low FROM reach GROUP BY node)"""
+
+ORACLE: dict[str, str] = {
+    "op3_ngram_join": rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(1, len(w) - 4) + 1), lambda i: array_to_string(w[i:i + 4], ' '))) AS shingle FROM w WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS i FROM s x JOIN s y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM shared JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * i >= 80 * (p.n + q.n - i)),
+nodes AS (SELECT doc_id AS id FROM documents), {_REACH}
+SELECT doc_id, coalesce(n, 0) AS n_shingles, low AS component_id FROM documents LEFT JOIN n USING (doc_id) JOIN lows ON node = doc_id""",
+    "op4_embeddings": f"""
+WITH RECURSIVE e AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v, sqrt(list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))) AS norm FROM embeddings),
+links AS (SELECT x.id AS a, y.id AS b FROM e x JOIN e y ON x.id <> y.id WHERE x.norm > 0 AND y.norm > 0 AND list_dot_product(x.v, y.v) >= 0.95 * x.norm * y.norm),
+nodes AS (SELECT id FROM e), {_REACH},
+n AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT id AS vec_id, coalesce(n, 0) AS n_links, low AS component_id, low = id AS kept FROM e JOIN lows ON node = id LEFT JOIN n ON a = id""",
+    "op7_warc": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages),
+t AS (SELECT *, strlen(html) >= 100 AND page_id <> first AS again FROM p)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, sha256(html) AS payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN again THEN first END AS refers_to FROM t""",
+}
