@@ -64,8 +64,12 @@ def read_xml(spark: SparkSession, path: str) -> DataFrame:
     outline is incomplete or does not close is dropped. A point or line without places stays, with null px and py.
     """
     ship(spark)
-    nodes, ways = _read(spark, path, "node", NODE), _read(spark, path, "way", WAY)
-    relations = _read(spark, path, "relation", RELATION)
+    ways = _read(spark, path, "way", WAY).select("_id", F.transform("nd", lambda x: x["_ref"]).alias("refs"), "tags")
+    return assemble(_read(spark, path, "node", NODE), ways, _read(spark, path, "relation", RELATION))
+
+
+def assemble(nodes: DataFrame, ways: DataFrame, relations: DataFrame) -> DataFrame:
+    """Objects with geometry from nodes (_id, _lat, _lon, tags), ways (_id, refs, tags) and relations (_id, member, tags)."""
     valid = F.col("_lat").between(-90, 90) & F.col("_lon").between(-180, 180)
     places = nodes.where(valid).select(F.col("_id").alias("ref"), F.col("_lon").alias("x"), F.col("_lat").alias("y"))
     points = nodes.where(wanted(F.col("tags"))).select(
@@ -73,7 +77,7 @@ def read_xml(spark: SparkSession, path: str) -> DataFrame:
         F.when(valid, F.col("_lon")).alias("px"), F.when(valid, F.col("_lat")).alias("py"),
     )
 
-    refs = ways.select(F.col("_id").alias("way"), "tags", F.transform("nd", lambda x: x["_ref"]).alias("refs"))
+    refs = ways.select(F.col("_id").alias("way"), "tags", "refs")
     closed = (F.size("refs") >= 4) & (F.element_at("refs", 1) == F.element_at("refs", -1)) & (F.coalesce(F.col("tags")["area"], F.lit("")) != "no")
     kept = refs.where(wanted(F.col("tags")))
     # a closed way comes back as an area; a way that is closed but no area is no line either
