@@ -12,6 +12,30 @@ from pyspark.sql import DataFrame, SparkSession
 from postalith.ship import ship
 
 _own: str | None = None
+_made: list[tuple[SparkSession, str]] = []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder through Spark's file systems."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def made(spark: SparkSession, path: str) -> str:
+    """Remember a folder, to delete it when Python ends."""
+    _made.append((spark, path))
+    return path
+
+
+def _clear() -> None:
+    for spark, path in _made:
+        if spark.sparkContext._jsc is None:  # stopped: only what this machine sees can go
+            shutil.rmtree(path.removeprefix("file://"), ignore_errors=True)
+        else:
+            remove(spark, path)
+
+
+atexit.register(_clear)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -32,6 +56,6 @@ def shared_dir(spark: SparkSession) -> str:
 
 def held(df: DataFrame) -> DataFrame:
     """The same rows, written once and read from there: a lost executor loses nothing, and the plan starts anew."""
-    path = f"{shared_dir(df.sparkSession)}/held-{uuid.uuid4().hex}"
+    path = made(df.sparkSession, f"{shared_dir(df.sparkSession)}/held-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
