@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postalith.store import shared_dir
+from postalith.store import made, remove, shared_dir
 
 #: The white space that separates words in every word-based operator.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -27,7 +27,7 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.tables: dict[str, str] = {}
-        self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        self.root = made(spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}")
 
     @classmethod
     def stage(cls, spark: SparkSession, name: str, frees: str | None = None) -> Scratch:
@@ -39,7 +39,7 @@ class Scratch:
 
     def clear(self) -> None:
         self.drop(*list(self.tables))
-        self._delete(self.root)
+        remove(self.spark, self.root)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -52,7 +52,7 @@ class Scratch:
         """A table whose rows lie by the hash of a key: joins and aggregations on it need not move them."""
         count = max(1, int(self.spark.conf.get("spark.sql.shuffle.partitions")))
         table = f"postalith_{uuid.uuid4().hex}"
-        where = df.repartition(count, key).write.bucketBy(count, key).option("compression", "zstd").option(*_QUICK).option("path", self.path(name))
+        where = df.repartition(count, key).write.bucketBy(count, key).option("path", self.path(name))
         where.saveAsTable(table)
         self.tables[name] = table
         return self.spark.table(table)
@@ -61,11 +61,7 @@ class Scratch:
         for name in names:
             if name in self.tables:
                 self.spark.sql(f"DROP TABLE IF EXISTS {self.tables.pop(name)}")
-            self._delete(self.path(name))
-
-    def _delete(self, path: str) -> None:
-        where = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+            remove(self.spark, self.path(name))
 
 
 def global_rank(df: DataFrame, keys: list[Column | str], scratch: Scratch, name: str, rank: str = "rank") -> DataFrame:

@@ -18,8 +18,9 @@ from postalith.llm.common import Scratch, components
 
 #: Normal lines of fewer characters are left alone; longer lines than MOST are compared in pieces of PIECE words.
 FEWEST, MOST, PIECE = 24, 30_000, 4_000
-#: Lines of fewer characters are compared for equality alone: one changed word moves too many of their few features.
-FUZZY = 60
+#: Lines of fewer characters (about 20 words) are compared for equality alone: there one changed word moves six bits or
+#: more on average, beyond what blocks can find.
+FUZZY = 120
 #: Bits in which fingerprints may differ; least similarity: 1 - distance / words of the longer.
 BITS, SIMILAR = 3, 0.8
 #: A length band is this wide, as a ratio.
