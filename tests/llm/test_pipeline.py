@@ -22,3 +22,11 @@ def test_stages_run_on_odd_rows_and_keep_columns(spark, tmp_path):
     assert ids[3] <= ids[2] and ids[4] == ids[3]
     assert sum(r["length"] for r in now.collect()) > 0
     assert cp.run(spark, str(tmp_path)).count() == now.count()
+
+
+def test_stages_run_on_empty_tables(spark, tmp_path):
+    docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    for name, stage in cp.STAGES:
+        found = stage(spark, docs, str(tmp_path))
+        assert found.count() == 0, name
