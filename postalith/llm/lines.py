@@ -1,12 +1,14 @@
 """Fuzzy line dedup in DataFrame operations alone.
 
-Lines are normalised and equal ones become one. Each gets a 60-bit SimHash of its words: fifteen sums of spread bits,
-four 15-bit counters to a number, so that one aggregation without Python counts all 60 bits. Fingerprints that differ
-in at most three bits share one of four 15-bit blocks; lines that do, of similar length, are compared by edit
-distance over words, and one occurrence of each connected group stays.
-
-Lines are first compared with the leader of those that share two blocks. What connects so is one group; after that
-only lines of different groups are compared, so a line with thousands of variants costs about one comparison each.
+Lines are normalised and equal ones become one. Two of n and m words are near if their edit distance over words is at
+most a fifth of the longer: at most floor(n / 5) words of the one and floor(m / 5) of the other then have no partner.
+So if the words of all lines are put in any one order, near lines share a word among their first floor(n / 5) + 1 and
+floor(m / 5) + 1. Rare words come first in ours, lines that share such a word meet, sketches that never overstate a
+difference rule most of them out, the edit distance decides, and one occurrence of each connected group stays. No
+near pair is missed.
+
+Lines are first compared with the leader of those that share a word. What connects so is one group; after that only
+lines outside the leader's group are compared, so a line with thousands of variants costs about one comparison each.
 """
 
 from __future__ import annotations
@@ -21,15 +23,11 @@ FEWEST, MOST, PIECE = 24, 30_000, 4_000
 #: Lines of fewer characters (about 20 words) are compared for equality alone: there one changed word moves six bits or
 #: more on average, beyond what blocks can find.
 FUZZY = 120
-#: Bits in which fingerprints may differ; least similarity: 1 - distance / words of the longer.
-BITS, SIMILAR = 3, 0.8
-#: A length band is this wide, as a ratio.
-BAND = 2.0
-
-#: Fields of 15 bits, four to a number; the last bit of each tells a majority of less than 16384 words.
-_FIELD = 15
-_ONES = sum(1 << _FIELD * j for j in range(4))
-_TOP = 1 << (_FIELD - 1)
+#: Least similarity: 1 - distance / words of the longer.
+SIMILAR = 0.8
+#: The commonest words of one line in SAMPLED come last in the order of words, in steps: those up to each of these ranks.
+STEPS, SAMPLED = (32, 128, 512, 2048), 16
+
 #: Letters that stand for words: those of the basic plane from 256 on, before the surrogates.
 _LETTERS = 0xD800 - 256
 
@@ -39,19 +37,43 @@ def normal(line: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(line), r"[^\p{L}\p{N}]+", " "))
 
 
-def _sums(word: Column) -> list[Column]:
-    h = F.xxhash64(word)
-    return [F.sum(F.shiftright(h, i).bitwiseAND(F.lit(_ONES))).alias(f"s{i}") for i in range(_FIELD)]
+def _codes(norm: Column) -> Column:
+    """A number for each distinct word: longer words, which are rarer, have smaller ones."""
+    code = lambda w: F.shiftleft((F.lit(63) - F.least(F.length(w), F.lit(63))).cast("long"), 53).bitwiseOR(F.shiftrightunsigned(F.xxhash64(w), 11))
+    return F.array_distinct(F.transform(F.split(norm, " "), code))
+
 
+def _common(texts: DataFrame) -> list[int]:
+    """Numbers of the commonest words, those first. They only set the order of words: which pairs are found is the same."""
+    code = texts.where(F.pmod("line", F.lit(SAMPLED)) == 0).select(F.explode(_codes(F.col("norm"))).alias("code"))
+    most = code.groupBy("code").agg(F.count("*").alias("n")).where("n > 1").orderBy(F.col("n").desc(), "code").limit(STEPS[-1])
+    return [r["code"] for r in most.collect()]
 
-def _majority(count: Column) -> Column:
-    """The fingerprint: bit i + 15 j is set if field j of sum i is more than half the count."""
-    bias = (F.lit(_TOP - 1) - F.shiftright(count, 1)) * F.lit(_ONES)
-    out = None
-    for i in range(_FIELD):
-        top = F.shiftright((F.col(f"s{i}") + bias).bitwiseAND(F.lit(_TOP * _ONES)), _FIELD - 1)
-        out = F.shiftleft(top, i) if out is None else out.bitwiseOR(F.shiftleft(top, i))
-    return out
+
+def _prints(texts: DataFrame) -> DataFrame:
+    """For every line of five words or more: line, n (words), first (words of which near lines share one), two sketches.
+
+    A sketch has 64 bits; each distinct word of its half flips one. A shorter line has no near ones but equal ones.
+    """
+    common = _common(texts)
+
+    def late(code: Column) -> Column:
+        out, start = None, 0
+        for i, end in enumerate(STEPS):
+            if step := common[start:end]:
+                value = code + F.lit((len(STEPS) - i) << 59)
+                out = F.when(code.isin(step), value) if out is None else out.when(code.isin(step), value)
+            start = end
+        return code if out is None else out.otherwise(code)
+
+    rows = texts.select("line", F.size(F.split("norm", " ")).alias("n"), _codes(F.col("norm")).alias("codes"))
+    rows = rows.where(F.floor(F.col("n") * (1 - SIMILAR) + 1e-9) > 0)
+    flip = lambda half: F.aggregate(
+        F.filter("codes", lambda c: F.shiftright(c, 6).bitwiseAND(F.lit(1)) == half), F.lit(0).cast("long"),
+        lambda bits, c: bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), c.bitwiseAND(F.lit(63)).cast("int"))),
+    )
+    first = F.slice(F.sort_array(F.transform("codes", late)), F.lit(1), (F.floor(F.col("n") * (1 - SIMILAR) + 1e-9) + 1).cast("int"))
+    return rows.select("line", "n", first.alias("first"), flip(0).alias("even"), flip(1).alias("odd"))
 
 
 def compared(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -71,25 +93,12 @@ def compared(docs: DataFrame, key: str, text: str) -> DataFrame:
     return rows.withColumn("line", F.xxhash64("norm")).withColumn("norm", F.when(F.col("fuzzy"), F.col("norm"))).drop("fuzzy")
 
 
-def _apart(a: str, b: str) -> Column:
-    return F.bit_count(F.col(a).bitwiseXOR(F.col(b)))
-
-
-def _blocks(prints: DataFrame) -> DataFrame:
-    """prints (line, print, length, ...) by block: a row (block, print) for each of four blocks and length band.
-
-    A line near the upper end of its band also visits the next one, so lines of similar length always meet where at
-    least one of them is at home.
-    """
-    band = F.floor(F.log(BAND, F.col("length"))).cast("int")
-    near = F.col("length") >= SIMILAR * F.pow(F.lit(BAND), band + 1)
-    where = F.when(near, F.array(F.struct(band.alias("band"), F.lit(False).alias("visits")), F.struct((band + 1).alias("band"), F.lit(True).alias("visits")))).otherwise(
-        F.array(F.struct(band.alias("band"), F.lit(False).alias("visits")))
-    )
-    part = lambda i: F.shiftright(F.col("print"), _FIELD * i).bitwiseAND(F.lit((1 << _FIELD) - 1))
-    blocks = F.array(*[F.struct((part(i) * 4 + i).alias("block"), part((i + 1) % 4).alias("next")) for i in range(4)])
-    wide = prints.withColumn("where", F.explode(where)).withColumn("of", F.explode(blocks))
-    return wide.select(*prints.columns, (F.col("of.block") * 256 + F.col("where.band")).alias("block"), F.col("of.next").alias("next"), F.col("where.visits").alias("visits"))
+def _met(one: str, two: str) -> Column:
+    """Whether two lines may be near, by their numbers of words and sketches: a word without a partner flips one bit."""
+    n, m = F.col(f"{one}.n"), F.col(f"{two}.n")
+    alike = F.ceil(F.greatest(n, m) * SIMILAR - 1e-9)
+    apart = sum(F.bit_count(F.col(f"{one}.{s}").bitwiseXOR(F.col(f"{two}.{s}"))) for s in ("even", "odd"))
+    return (F.least(n, m) >= alike) & (apart <= n + m - 2 * alike)
 
 
 def _as_letters(norm: str) -> Column:
@@ -117,28 +126,29 @@ def groups(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "
     once = rows.where(F.col("norm").isNotNull()).groupBy("line").agg(F.first("norm").alias("norm"))
     # bucketed by line: neither the words' aggregation nor the joins of pairs with their texts move the texts again
     texts = scratch.bucketed(once, "texts", "line")
-    # each word counts once: else a line's commonest words settle most bits, and lines of one language are all alike
-    word = texts.select("line", F.length("norm").alias("length"), F.explode(F.array_distinct(F.split("norm", " "))).alias("word"))
-    sums = word.groupBy("line").agg(F.count("*").alias("n"), F.first("length").alias("length"), *_sums(F.col("word")))
-    prints = scratch.keep(sums.select("line", _majority(F.col("n")).alias("print"), "length"), "prints")
-
-    lead = Window.partitionBy("block", "next")
-    led = _blocks(prints).withColumn("lead", F.min(F.struct("line", "print")).over(lead))
-    led = led.select(F.col("line").alias("a"), F.col("lead.line").alias("b"), _apart("print", "lead.print").alias("apart"))
-    pairs = scratch.keep(led.where((F.col("a") != F.col("b")) & (F.col("apart") <= BITS)).select("a", "b").distinct(), "pairs1")
+    block = _prints(texts).select(F.struct("line", "n", "even", "odd").alias("x"), F.explode("first").alias("block"))
+    here = Window.partitionBy("block")
+    led = block.withColumn("lead", F.min("x").over(here)).withColumn("many", F.count("*").over(here)).where("many > 1").drop("many")
+    led = scratch.keep(led, "blocks")
+    first = led.where((F.col("x.line") != F.col("lead.line")) & _met("x", "lead"))
+    pairs = scratch.keep(first.select(F.col("x.line").alias("a"), F.col("lead.line").alias("b")).distinct(), "pairs1")
     edges = scratch.keep(_verified(pairs, texts), "edges1")
     labels = components(edges, scratch, "first")
 
-    named = prints.join(labels.withColumnRenamed("node", "line"), "line", "left").withColumn("component", F.coalesce("component", "line"))
-    one = _blocks(named).select("block", *(F.col(c).alias(f"{c}1") for c in ("line", "print", "length", "component", "visits")))
-    two = _blocks(named).select("block", *(F.col(c).alias(f"{c}2") for c in ("line", "print", "length", "component", "visits")))
-    like = (F.col("length1") >= SIMILAR * F.col("length2")) & (F.col("length2") >= SIMILAR * F.col("length1"))
-    met = one.join(two, "block").where((F.col("component1") < F.col("component2")) & ~(F.col("visits1") & F.col("visits2")) & (_apart("print1", "print2") <= BITS) & like)
-    pairs = scratch.keep(met.select(F.col("line1").alias("a"), F.col("line2").alias("b")).distinct(), "pairs2")
+    # lines of the leader's group need not meet each other: only the others meet all
+    group = lambda c: labels.select(F.col("node").alias(f"{c}_node"), F.col("component").alias(f"{c}_in"))
+    named = led.join(group("x"), F.col("x.line") == F.col("x_node"), "left").join(group("lead"), F.col("lead.line") == F.col("lead_node"), "left")
+    named = named.select("block", "x", F.coalesce("x_in", "x.line").alias("own"), F.coalesce("lead_in", "lead.line").alias("leads"))
+    named = scratch.keep(named.withColumn("out", F.col("own") != F.col("leads")), "named-blocks")
+    scratch.drop("blocks")
+    outer = named.where("out").select("block", F.col("x").alias("one"), F.col("own").alias("own1"))
+    inner = named.select("block", F.col("x").alias("two"), F.col("own").alias("own2"), F.col("out").alias("out2"))
+    met = outer.join(inner, "block").where((F.col("own1") != F.col("own2")) & (~F.col("out2") | (F.col("own1") < F.col("own2"))) & _met("one", "two"))
+    pairs = scratch.keep(met.select(F.col("one.line").alias("a"), F.col("two.line").alias("b")).distinct(), "pairs2")
     more = scratch.keep(_verified(pairs, texts), "edges2")
     if more.limit(1).count():
         labels = components(edges.unionByName(more), scratch, "second")
-    scratch.drop("texts", "prints")
+    scratch.drop("texts", "named-blocks")
     return places, labels
 
 

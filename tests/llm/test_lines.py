@@ -1,3 +1,5 @@
+import random
+
 from postalith.llm import lines
 from postalith.llm.common import Scratch
 
@@ -49,3 +51,31 @@ def test_chains_connect(spark):
     assert places.count() == 6
     # fingerprints near by chance or not, no group may hold lines that no chain of verified pairs connects
     assert groups.select("node").distinct().count() == groups.count()
+
+
+def _planted(sizes, seed):
+    """Lines, and a near copy of each at just the least similarity; a line and its copy have keys 2 i and 2 i + 1."""
+    draw = random.Random(seed)
+    words = ["".join(draw.choice("aeioulnrst") for _ in range(draw.randint(2, 9))) for _ in range(3000)]
+    rows = []
+    for n in sizes:
+        line = [draw.choice(words[: 40 if draw.random() < 0.5 else 3000]) for _ in range(n)]
+        copy = list(line)
+        for at in draw.sample(range(n), n // 5):
+            copy[at] = draw.choice(words)
+        if draw.random() < 0.3:  # words left out instead
+            gone = set(draw.sample(range(n), n // 5))
+            copy = [w for i, w in enumerate(line) if i not in gone]
+        rows += [(len(rows), " ".join(line)), (len(rows) + 1, " ".join(copy))]
+    return rows
+
+
+def _removed(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    return {r["doc_id"] for r in lines.dedup(docs, Scratch(spark, "t")).where("removed_lines = 1").select("doc_id").collect()}
+
+
+def test_every_line_at_the_least_similarity_is_found(spark):
+    rows = [r for r in _planted([40, 45, 50, 60, 80, 100, 150, 300, 700] * 6, 1)]
+    assert all(len(t) >= 120 for _, t in rows)
+    assert _removed(spark, rows) == set(range(1, len(rows), 2))
