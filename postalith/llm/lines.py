@@ -20,13 +20,10 @@ from postalith.llm.common import Scratch, components
 
 #: Normal lines of fewer characters are left alone; longer lines than MOST are compared in pieces of PIECE words.
 FEWEST, MOST, PIECE = 24, 30_000, 4_000
-#: Lines of fewer characters (about 20 words) are compared for equality alone: there one changed word moves six bits or
-#: more on average, beyond what blocks can find.
-FUZZY = 120
 #: Least similarity: 1 - distance / words of the longer.
 SIMILAR = 0.8
-#: The commonest words of one line in SAMPLED come last in the order of words, in steps: those up to each of these ranks.
-STEPS, SAMPLED = (32, 128, 512, 2048), 16
+#: The commonest words, as counted in one line of SAMPLED, come last in the order of words: so many of them.
+COMMON, SAMPLED = 256, 16
 
 #: Letters that stand for words: those of the basic plane from 256 on, before the surrogates.
 _LETTERS = 0xD800 - 256
@@ -46,39 +43,28 @@ def _codes(norm: Column) -> Column:
 def _common(texts: DataFrame) -> list[int]:
     """Numbers of the commonest words, those first. They only set the order of words: which pairs are found is the same."""
     code = texts.where(F.pmod("line", F.lit(SAMPLED)) == 0).select(F.explode(_codes(F.col("norm"))).alias("code"))
-    most = code.groupBy("code").agg(F.count("*").alias("n")).where("n > 1").orderBy(F.col("n").desc(), "code").limit(STEPS[-1])
+    most = code.groupBy("code").agg(F.count("*").alias("n")).where("n > 1").orderBy(F.col("n").desc(), "code").limit(COMMON)
     return [r["code"] for r in most.collect()]
 
 
 def _prints(texts: DataFrame) -> DataFrame:
-    """For every line of five words or more: line, n (words), first (words of which near lines share one), two sketches.
+    """For every line of four words or more: line, n (words), first (words of which near lines share one), two sketches.
 
     A sketch has 64 bits; each distinct word of its half flips one. A shorter line has no near ones but equal ones.
     """
-    common = _common(texts)
-
-    def late(code: Column) -> Column:
-        out, start = None, 0
-        for i, end in enumerate(STEPS):
-            if step := common[start:end]:
-                value = code + F.lit((len(STEPS) - i) << 59)
-                out = F.when(code.isin(step), value) if out is None else out.when(code.isin(step), value)
-            start = end
-        return code if out is None else out.otherwise(code)
-
-    rows = texts.select("line", F.size(F.split("norm", " ")).alias("n"), _codes(F.col("norm")).alias("codes"))
-    rows = rows.where(F.floor(F.col("n") * (1 - SIMILAR) + 1e-9) > 0)
+    common = F.array(*map(F.lit, _common(texts)[::-1])).cast("array<bigint>")
+    rows = texts.select("line", F.size(F.split("norm", " ")).alias("n"), _codes(F.col("norm")).alias("codes")).where("n >= 4")
     flip = lambda half: F.aggregate(
-        F.filter("codes", lambda c: F.shiftright(c, 6).bitwiseAND(F.lit(1)) == half), F.lit(0).cast("long"),
-        lambda bits, c: bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), c.bitwiseAND(F.lit(63)).cast("int"))),
+        "codes", F.lit(0).cast("long"),
+        lambda bits, c: F.when(c.bitwiseAND(F.lit(64)) == 64 * half, bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), c.bitwiseAND(F.lit(63)).cast("int")))).otherwise(bits),
     )
-    first = F.slice(F.sort_array(F.transform("codes", late)), F.lit(1), (F.floor(F.col("n") * (1 - SIMILAR) + 1e-9) + 1).cast("int"))
+    order = F.concat(F.sort_array(F.array_except("codes", common)), F.array_intersect(common, "codes"))
+    first = F.slice(order, F.lit(1), (F.floor(F.col("n") * (1 - SIMILAR) + 1e-9) + 1).cast("int"))
     return rows.select("line", "n", first.alias("first"), flip(0).alias("even"), flip(1).alias("odd"))
 
 
 def compared(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """A row for every line that is long enough: key, mark (hash of the text), at (line number from 0), line (hash), and
-    norm where it is long enough for a fingerprint.
+    """A row for every line that is long enough: key, mark (hash of the text), at (line number from 0), line (hash), norm.
 
     Lines of more than MOST characters give a row for each piece; pieces tells how many, piece which.
     """
@@ -88,9 +74,9 @@ def compared(docs: DataFrame, key: str, text: str) -> DataFrame:
     cut = F.transform(F.sequence(F.lit(1), F.size(split), F.lit(PIECE)), lambda i: F.array_join(F.slice(split, i, F.lit(PIECE)), " "))
     length = F.length("whole")
     pieces = F.when(length > MOST, cut).when(length >= FEWEST, F.array("whole"))
-    rows = rows.select("key", "mark", "at", pieces.alias("cut"), (length >= FUZZY).alias("fuzzy"))
-    rows = rows.select("key", "mark", "at", "fuzzy", F.size("cut").alias("pieces"), F.posexplode("cut").alias("piece", "norm"))
-    return rows.withColumn("line", F.xxhash64("norm")).withColumn("norm", F.when(F.col("fuzzy"), F.col("norm"))).drop("fuzzy")
+    rows = rows.select("key", "mark", "at", pieces.alias("cut"))
+    rows = rows.select("key", "mark", "at", F.size("cut").alias("pieces"), F.posexplode("cut").alias("piece", "norm"))
+    return rows.withColumn("line", F.xxhash64("norm"))
 
 
 def _met(one: str, two: str) -> Column:
@@ -123,24 +109,24 @@ def groups(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "
     """Two tables: places (key, mark, at, pieces, piece, line) of all lines compared, and (node, component) of lines with near ones."""
     rows = scratch.keep(compared(docs, key, text), "rows", compression="zstd")
     places = rows.drop("norm")
-    once = rows.where(F.col("norm").isNotNull()).groupBy("line").agg(F.first("norm").alias("norm"))
+    once = rows.groupBy("line").agg(F.first("norm").alias("norm"))
     # bucketed by line: neither the words' aggregation nor the joins of pairs with their texts move the texts again
     texts = scratch.bucketed(once, "texts", "line")
-    block = _prints(texts).select(F.struct("line", "n", "even", "odd").alias("x"), F.explode("first").alias("block"))
+    prints = scratch.keep(_prints(texts), "prints")
+    line = F.struct("line", "n", "even", "odd")
+    # words meet by 32 bits: rows are narrow, and two words that share them only make more candidates
     here = Window.partitionBy("block")
-    led = block.withColumn("lead", F.min("x").over(here)).withColumn("many", F.count("*").over(here)).where("many > 1").drop("many")
-    led = scratch.keep(led, "blocks")
+    block = F.explode("first").alias("code")
+    led = prints.select(line.alias("x"), block).select("x", F.hash("code").alias("block")).withColumn("lead", F.min("x").over(here))
     first = led.where((F.col("x.line") != F.col("lead.line")) & _met("x", "lead"))
     pairs = scratch.keep(first.select(F.col("x.line").alias("a"), F.col("lead.line").alias("b")).distinct(), "pairs1")
     edges = scratch.keep(_verified(pairs, texts), "edges1")
     labels = components(edges, scratch, "first")
 
     # lines of the leader's group need not meet each other: only the others meet all
-    group = lambda c: labels.select(F.col("node").alias(f"{c}_node"), F.col("component").alias(f"{c}_in"))
-    named = led.join(group("x"), F.col("x.line") == F.col("x_node"), "left").join(group("lead"), F.col("lead.line") == F.col("lead_node"), "left")
-    named = named.select("block", "x", F.coalesce("x_in", "x.line").alias("own"), F.coalesce("lead_in", "lead.line").alias("leads"))
-    named = scratch.keep(named.withColumn("out", F.col("own") != F.col("leads")), "named-blocks")
-    scratch.drop("blocks")
+    named = prints.join(labels.withColumnRenamed("node", "line"), "line", "left").withColumn("own", F.coalesce("component", "line"))
+    named = named.select(line.alias("x"), "own", block).select("x", "own", F.hash("code").alias("block"))
+    named = named.withColumn("out", F.col("own") != F.min(F.struct("x.line", "own")).over(here)["own"])
     outer = named.where("out").select("block", F.col("x").alias("one"), F.col("own").alias("own1"))
     inner = named.select("block", F.col("x").alias("two"), F.col("own").alias("own2"), F.col("out").alias("out2"))
     met = outer.join(inner, "block").where((F.col("own1") != F.col("own2")) & (~F.col("out2") | (F.col("own1") < F.col("own2"))) & _met("one", "two"))
@@ -148,7 +134,7 @@ def groups(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "
     more = scratch.keep(_verified(pairs, texts), "edges2")
     if more.limit(1).count():
         labels = components(edges.unionByName(more), scratch, "second")
-    scratch.drop("texts", "named-blocks")
+    scratch.drop("texts", "prints")
     return places, labels
 
 

@@ -79,3 +79,11 @@ def test_every_line_at_the_least_similarity_is_found(spark):
     rows = [r for r in _planted([40, 45, 50, 60, 80, 100, 150, 300, 700] * 6, 1)]
     assert all(len(t) >= 120 for _, t in rows)
     assert _removed(spark, rows) == set(range(1, len(rows), 2))
+
+
+def test_short_near_lines_are_found(spark):
+    rows = [(k, t) for k, t in _planted([5, 6, 8, 10, 12, 15, 19] * 8, 2)]
+    pairs = [(rows[i], rows[i + 1]) for i in range(0, len(rows), 2)]
+    pairs = [(a, b) for a, b in pairs if len(a[1]) >= lines.FEWEST and len(b[1]) >= lines.FEWEST]
+    assert len(pairs) > 40 and any(len(t) < 60 for p in pairs for _, t in p)
+    assert {b[0] for _, b in pairs} <= _removed(spark, [r for p in pairs for r in p])
