@@ -57,3 +57,20 @@ def test_estimates_are_unbiased_and_bounded():
     off = ~np.eye(400, dtype=bool)
     assert abs((estimate - true)[off].mean()) < 0.01
     assert (high >= true - 1e-4)[off].mean() > 0.999
+
+
+def test_recall_with_many_more_cells_than_visits(spark, monkeypatch):
+    monkeypatch.setattr(em, "CELL", 20)
+    assert _planted_found(spark, 8000, 500) >= 0.9  # 400 cells
+
+
+def _planted_found(spark, count, pairs):
+    """Share of the pairs planted at cosine 0.9501 among count random vectors that are linked."""
+    rng = np.random.default_rng(4)
+    x = em.unit(rng.standard_normal((count - pairs, 64)))
+    turn = rng.standard_normal((pairs, 64))
+    turn = em.unit(turn - (turn * x[:pairs]).sum(axis=1, keepdims=True) * x[:pairs])
+    x = np.concatenate([x, 0.9501 * x[:pairs] + (1 - 0.9501**2) ** 0.5 * turn]).astype(np.float32)
+    rows = [(i, v, 1) for i, v in enumerate(x.tolist())]
+    got = {r["vec_id"]: r["n_links"] for r in em.links(spark.createDataFrame(rows, SCHEMA), Scratch(spark, "t")).collect()}
+    return np.mean([got[i] > 0 for i in range(pairs)])
