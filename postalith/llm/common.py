@@ -133,3 +133,35 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
         step += 1
         if not work.limit(1).count():
             return spark.read.schema(labels.schema).parquet(scratch.path(f"{name}-l{step - 1}"))
+
+
+def extended(labels: DataFrame, more: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """The groups (node, component) of a graph that also has the links more (a, b); nodes of theirs may be new.
+
+    The graph is first contracted by the groups it has, so only links between different groups are followed.
+    """
+    of = lambda c: labels.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}"))
+    lifted = more.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    lifted = scratch.keep(lifted.select("a", "b", F.coalesce("of_a", "a").alias("x"), F.coalesce("of_b", "b").alias("y")), f"{name}-lifted")
+    if not lifted.where("x <> y").limit(1).count():
+        return labels
+    merged = components(lifted.where("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")), scratch, name)
+    new = lifted.select(F.explode(F.array(F.struct("a", "x"), F.struct(F.col("b").alias("a"), F.col("y").alias("x")))).alias("n")).select(F.col("n.a").alias("node"), F.col("n.x").alias("component"))
+    every = labels.unionByName(new).distinct().join(merged.select(F.col("node").alias("component"), F.col("component").alias("now")), "component", "left")
+    return scratch.keep(every.select("node", F.coalesce("now", "component").alias("component")), f"{name}-labels")
+
+
+#: The rows of one key in a join of join_hot are at most this part of all, where the key's other rows do not share a task.
+PART = 1000
+
+
+def join_hot(left: DataFrame, right: DataFrame, on: str, rows: str) -> DataFrame:
+    """An inner join on a key that stands once in right; rows names right's column with how often it stands in left.
+
+    Keys with a thousandth of the rows or more, a thousand at most, are broadcast, so their rows stay where they are.
+    """
+    total = right.agg(F.sum(rows)).first()[0] or 0
+    hot = F.col(rows) * PART >= total
+    some = F.broadcast(right.where(hot))
+    rest = left.join(some.select(on), on, "left_anti").join(right.where(~hot), on)
+    return left.join(some, on).unionByName(rest)

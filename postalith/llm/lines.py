@@ -1,32 +1,36 @@
 """Fuzzy line dedup in DataFrame operations alone.
 
 Lines are normalised and equal ones become one. Two of n and m words are near if their edit distance over words is at
-most a fifth of the longer: at most floor(n / 5) words of the one and floor(m / 5) of the other then have no partner.
-So if the words of all lines are put in any one order, near lines share a word among their first floor(n / 5) + 1 and
-floor(m / 5) + 1. Rare words come first in ours, lines that share such a word meet, sketches that never overstate a
-difference rule most of them out, the edit distance decides, and one occurrence of each connected group stays. No
-near pair is missed.
+most a fifth of the longer. Every line gets a SimHash of its words and six blocks; lines that share a block meet,
+SimHashes and sketches that are too far apart rule pairs out, the edit distance decides, and one occurrence of each
+connected group stays.
 
-Lines are first compared with the leader of those that share a word. What connects so is one group; after that only
+A block is the least of the hashed word triples of a line (pairs in short lines) under one of six hash functions, so
+by the pigeonhole principle near lines are missed only if all six least ones lie on changed words. Cutting the SimHash
+itself into blocks does not reach this similarity: a fifth of the words changed moves a fifth of its bits, so blocks
+that stay whole are too short to tell lines apart.
+
+Lines are first compared with the leader of those that share a block. What connects so is one group; after that only
 lines outside the leader's group are compared, so a line with thousands of variants costs about one comparison each.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postalith.llm.common import Scratch, components
+from postalith.llm.common import Scratch, components, extended, join_hot
 
-#: Normal lines of fewer characters are left alone; longer lines than MOST are compared in pieces of PIECE words.
-FEWEST, MOST, PIECE = 24, 30_000, 4_000
 #: Least similarity: 1 - distance / words of the longer.
 SIMILAR = 0.8
-#: The commonest words, as counted in one line of SAMPLED, come last in the order of words: so many of them.
-COMMON, SAMPLED = 256, 16
-
-#: Letters that stand for words: those of the basic plane from 256 on, before the surrogates.
-_LETTERS = 0xD800 - 256
+#: Blocks of a line.
+BLOCKS = 6
+#: Lines of up to SHORT words have blocks of word pairs, lines of LONG or more blocks of triples: near lines always share a kind.
+SHORT, LONG = 14, 12
+#: A pair or triple is likelier to be a block the longer, hence rarer, its words: its odds double with every EACH letters, DOUBLED times at most.
+EACH, DOUBLED = 4, 6
+#: Bits by which SimHashes of near lines may differ: 13 expected where a fifth of the words changed, and 3.4 deviations.
+BITS = 24
 
 
 def normal(line: Column) -> Column:
@@ -34,134 +38,164 @@ def normal(line: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(line), r"[^\p{L}\p{N}]+", " "))
 
 
-def _codes(norm: Column) -> Column:
-    """A number for each distinct word: longer words, which are rarer, have smaller ones."""
-    code = lambda w: F.shiftleft((F.lit(63) - F.least(F.length(w), F.lit(63))).cast("long"), 53).bitwiseOR(F.shiftrightunsigned(F.xxhash64(w), 11))
-    return F.array_distinct(F.transform(F.split(norm, " "), code))
+def compared(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """A row for every line with a letter or digit: key, mark (hash of the text), at (line number from 0), line (hash), norm."""
+    every = F.transform(F.split(F.col(text).cast("string"), "\n"), normal)
+    rows = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("mark"), F.posexplode(every).alias("at", "norm"))
+    return rows.where("norm <> ''").withColumn("line", F.xxhash64("norm"))
 
 
-def _common(texts: DataFrame) -> list[int]:
-    """Numbers of the commonest words, those first. They only set the order of words: which pairs are found is the same."""
-    code = texts.where(F.pmod("line", F.lit(SAMPLED)) == 0).select(F.explode(_codes(F.col("norm"))).alias("code"))
-    most = code.groupBy("code").agg(F.count("*").alias("n")).where("n > 1").orderBy(F.col("n").desc(), "code").limit(COMMON)
-    return [r["code"] for r in most.collect()]
+def _shift(name: str, value: Column, by: Column | int) -> Column:
+    return F.call_function(name, value, F.lit(by) if isinstance(by, int) else by)
 
 
-def _prints(texts: DataFrame) -> DataFrame:
-    """For every line of four words or more: line, n (words), first (words of which near lines share one), two sketches.
+def _words(norm: Column) -> Column:
+    """A number for each word: its hash, with its length (63 at most) in the last six bits."""
+    code = lambda w: F.xxhash64(w).bitwiseAND(F.lit(-64)).bitwiseOR(F.least(F.length(w), F.lit(63)).cast("long"))
+    return F.transform(F.split(norm, " "), code)
 
-    A sketch has 64 bits; each distinct word of its half flips one. A shorter line has no near ones but equal ones.
-    """
-    common = F.array(*map(F.lit, _common(texts)[::-1])).cast("array<bigint>")
-    rows = texts.select("line", F.size(F.split("norm", " ")).alias("n"), _codes(F.col("norm")).alias("codes")).where("n >= 4")
-    flip = lambda half: F.aggregate(
-        "codes", F.lit(0).cast("long"),
-        lambda bits, c: F.when(c.bitwiseAND(F.lit(64)) == 64 * half, bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), c.bitwiseAND(F.lit(63)).cast("int")))).otherwise(bits),
-    )
-    order = F.concat(F.sort_array(F.array_except("codes", common)), F.array_intersect(common, "codes"))
-    first = F.slice(order, F.lit(1), (F.floor(F.col("n") * (1 - SIMILAR) + 1e-9) + 1).cast("int"))
-    return rows.select("line", "n", first.alias("first"), flip(0).alias("even"), flip(1).alias("odd"))
 
+def _block(seed: int, *words: str) -> Column:
+    """The least hash of the words that start in each place."""
+    letters = sum((F.coalesce(F.col(w).bitwiseAND(F.lit(63)), F.lit(0)) for w in words), F.lit(0))
+    doubled = F.least(_shift("shiftrightunsigned", letters, EACH.bit_length() - 1), F.lit(DOUBLED)).cast("int")
+    return F.min(_shift("shiftrightunsigned", F.xxhash64(F.lit(seed), *words), doubled + 1))
 
-def compared(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """A row for every line that is long enough: key, mark (hash of the text), at (line number from 0), line (hash), norm.
 
-    Lines of more than MOST characters give a row for each piece; pieces tells how many, piece which.
+def _simhash(sums: list[str], n: str) -> Column:
+    """The fingerprint: each sum counts two bits of the words' hashes, 32 bits apart; a bit is set in most of the words."""
+    out = None
+    for i, s in enumerate(sums):
+        low, high = F.col(s).bitwiseAND(F.lit((1 << 32) - 1)), F.shiftrightunsigned(F.col(s), 32)
+        bits = [F.when(x * 2 > F.col(n), F.lit(1 << at if at < 63 else -(1 << 63))).otherwise(F.lit(0)) for x, at in ((low, i), (high, i + 32))]
+        both = bits[0].bitwiseOR(bits[1])
+        out = both if out is None else out.bitwiseOR(both)
+    return out
+
+
+def prints(texts: DataFrame) -> DataFrame:
+    """For every line (line, norm) of four words or more: line, n (words), simhash, two sketches, blocks.
+
+    Each word flips one bit of a sketch: an edit flips two of the 128 bits at most. Shorter lines have no near ones.
     """
-    every = F.transform(F.split(F.col(text).cast("string"), "\n"), normal)
-    rows = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("mark"), F.posexplode(every).alias("at", "whole"))
-    split = F.split("whole", " ")
-    cut = F.transform(F.sequence(F.lit(1), F.size(split), F.lit(PIECE)), lambda i: F.array_join(F.slice(split, i, F.lit(PIECE)), " "))
-    length = F.length("whole")
-    pieces = F.when(length > MOST, cut).when(length >= FEWEST, F.array("whole"))
-    rows = rows.select("key", "mark", "at", pieces.alias("cut"))
-    rows = rows.select("key", "mark", "at", F.size("cut").alias("pieces"), F.posexplode("cut").alias("piece", "norm"))
-    return rows.withColumn("line", F.xxhash64("norm"))
+    next_ = lambda i, by: F.get(F.col("w"), i + by)
+    here = F.transform("w", lambda x, i: F.struct(x.alias("a"), next_(i, 1).alias("b"), next_(i, 2).alias("c")))
+    rows = texts.select("line", _words(F.col("norm")).alias("w")).where(F.size("w") >= 4)
+    rows = rows.select("line", F.size("w").alias("n"), F.explode(here).alias("x")).select("line", "n", "x.*")
+    h = F.xxhash64("a")  # the last bits of a are a length
+    lanes = F.lit((1 << 32) + 1)
+    sums = [F.sum(_shift("shiftrightunsigned", h, i).bitwiseAND(lanes)).alias(f"s{i}") for i in range(32)]
+    bit = _shift("shiftleft", F.lit(1).cast("long"), _shift("shiftrightunsigned", F.col("a"), 8).bitwiseAND(F.lit(63)).cast("int"))
+    odd = F.col("a").bitwiseAND(F.lit(128)) != 0
+    halves = [F.bit_xor(F.when(x, bit).otherwise(F.lit(0).cast("long"))).alias(c) for x, c in ((odd, "odd"), (~odd, "even"))]
+    pairs = [_block(-1 - i, "a", "b").alias(f"p{i}") for i in range(BLOCKS)]
+    triples = [_block(i, "a", "b", "c").alias(f"t{i}") for i in range(BLOCKS)]
+    found = rows.groupBy("line", "n").agg(*sums, *halves, *pairs, *triples)
+    named = lambda c, k: F.array(*[F.xxhash64(F.lit(k + i), f"{c}{i}") for i in range(BLOCKS)])
+    short, long = named("p", 0), named("t", BLOCKS)
+    blocks = F.when(F.col("n") < LONG, short).when(F.col("n") > SHORT, long).otherwise(F.concat(short, long))
+    return found.select("line", "n", _simhash([f"s{i}" for i in range(32)], "n").alias("simhash"), "odd", "even", blocks.alias("blocks"))
 
 
 def _met(one: str, two: str) -> Column:
-    """Whether two lines may be near, by their numbers of words and sketches: a word without a partner flips one bit."""
+    """Whether two lines may be near, by their numbers of words, sketches and SimHashes."""
     n, m = F.col(f"{one}.n"), F.col(f"{two}.n")
     alike = F.ceil(F.greatest(n, m) * SIMILAR - 1e-9)
-    apart = sum(F.bit_count(F.col(f"{one}.{s}").bitwiseXOR(F.col(f"{two}.{s}"))) for s in ("even", "odd"))
-    return (F.least(n, m) >= alike) & (apart <= n + m - 2 * alike)
+    apart = lambda c: F.bit_count(F.col(f"{one}.{c}").bitwiseXOR(F.col(f"{two}.{c}")))
+    return (F.least(n, m) >= alike) & (apart("odd") + apart("even") <= n + m - 2 * alike) & (apart("simhash") <= BITS)
+
+
+def _as_letters(words: Column, names: Column) -> Column:
+    """A text with one letter for each word, by its place among the names: edit distance over words is then one over letters."""
+    at = lambda w: F.array_position(names, w) + 256
+    code = lambda w: F.lpad(F.hex(F.when(at(w) < 0xD800, at(w)).otherwise(at(w) + 0x800)), 8, "0")
+    return F.decode(F.unhex(F.array_join(F.transform(words, code), "")), "UTF-32")
 
 
-def _as_letters(norm: str) -> Column:
-    """A text with one letter for each word, by a hash of the word: edit distance over words is then one over letters."""
-    code = lambda w: F.lpad(F.hex(F.pmod(F.xxhash64(w), F.lit(_LETTERS)) + 256), 4, "0")
-    letters = F.decode(F.unhex(F.array_join(F.transform(F.split(norm, " "), code), "")), "UTF-16BE")
-    return F.coalesce(letters, F.lit(""))  # never null: else a null check would compute it for every text before the join
+def near(x: Column, y: Column) -> Column:
+    """Whether the edit distance of two lists of words leaves them similar enough. Different words never count as equal."""
+    most = F.floor(F.greatest(F.size(x), F.size(y)) * (1 - SIMILAR) + 1e-9).cast("int")
+    names = F.array_distinct(F.concat(x, y))
+    told = F.transform(F.array(F.struct(x.alias("x"), y.alias("y"), names.alias("names"))), lambda s: F.levenshtein(_as_letters(s["x"], s["names"]), _as_letters(s["y"], s["names"])))
+    few = F.size(F.array_except(x, y)) <= most
+    return F.when(few & (F.size(F.array_except(y, x)) <= most), told[0] <= most).otherwise(F.lit(False))
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) of lines whose edit distance, in words, leaves them similar enough."""
+    """The pairs (a, b) of lines that are near."""
     left = texts.select(F.col("line").alias("a"), F.col("norm").alias("x"))
     right = texts.select(F.col("line").alias("b"), F.col("norm").alias("y"))
     # few pairs meet many texts: hashing the pairs' partitions spares sorting the texts
-    both = left.join(pairs.hint("shuffle_hash"), "a").select("a", "b", _as_letters("x").alias("x"))
-    both = right.join(both.hint("shuffle_hash"), "b").select("a", "b", "x", _as_letters("y").alias("y"))
-    both = both.withColumn("most", F.floor(F.greatest(F.length("x"), F.length("y")) * (1 - SIMILAR) + 1e-9).cast("int"))
-    return both.where(F.expr("levenshtein(x, y, most) >= 0")).select("a", "b")
+    both = left.join(pairs.hint("shuffle_hash"), "a")
+    both = right.join(both.hint("shuffle_hash"), "b").select("a", "b", F.split("x", " ").alias("x"), F.split("y", " ").alias("y"))
+    return both.where(near(F.col("x"), F.col("y"))).select("a", "b")
 
 
 def groups(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """Two tables: places (key, mark, at, pieces, piece, line) of all lines compared, and (node, component) of lines with near ones."""
+    """Two tables: places (key, mark, at, line) of all lines compared, and (node, component) of lines with near ones."""
     rows = scratch.keep(compared(docs, key, text), "rows", compression="zstd")
-    places = rows.drop("norm")
-    once = rows.groupBy("line").agg(F.first("norm").alias("norm"))
     # bucketed by line: neither the words' aggregation nor the joins of pairs with their texts move the texts again
-    texts = scratch.bucketed(once, "texts", "line")
-    prints = scratch.keep(_prints(texts), "prints")
-    line = F.struct("line", "n", "even", "odd")
-    # words meet by 32 bits: rows are narrow, and two words that share them only make more candidates
-    here = Window.partitionBy("block")
-    block = F.explode("first").alias("code")
-    led = prints.select(line.alias("x"), block).select("x", F.hash("code").alias("block")).withColumn("lead", F.min("x").over(here))
-    first = led.where((F.col("x.line") != F.col("lead.line")) & _met("x", "lead"))
-    pairs = scratch.keep(first.select(F.col("x.line").alias("a"), F.col("lead.line").alias("b")).distinct(), "pairs1")
-    edges = scratch.keep(_verified(pairs, texts), "edges1")
+    texts = scratch.bucketed(rows.select("line", "norm").distinct(), "texts", "line")
+    found = scratch.keep(prints(texts), "prints")
+    blocks = found.select("line", F.explode("blocks").alias("block"))
+    # written, so that joins on a block that very many lines share can be split
+    lead = scratch.keep(blocks.groupBy("block").agg(F.min("line").alias("lead"), F.count("*").alias("lines")).where("lines > 1").drop("lines"), "lead")
+    shared = scratch.keep(blocks.join(lead, "block"), "shared")
+    print_ = F.struct("line", "n", "simhash", "odd", "even")
+
+    def possible(pairs: DataFrame, name: str) -> DataFrame:
+        """The pairs (a, b) that the prints do not rule out."""
+        one, two = (found.select(F.col("line").alias(c), print_.alias(p)) for c, p in (("a", "one"), ("b", "two")))
+        return scratch.keep(pairs.distinct().join(one, "a").join(two, "b").where(_met("one", "two")).select("a", "b"), name)
+
+    led = shared.where("line <> lead").select(F.col("line").alias("a"), F.col("lead").alias("b"))
+    edges = scratch.keep(_verified(possible(led, "pairs1"), texts), "edges1")
     labels = components(edges, scratch, "first")
 
     # lines of the leader's group need not meet each other: only the others meet all
-    named = prints.join(labels.withColumnRenamed("node", "line"), "line", "left").withColumn("own", F.coalesce("component", "line"))
-    named = named.select(line.alias("x"), "own", block).select("x", "own", F.hash("code").alias("block"))
-    named = named.withColumn("out", F.col("own") != F.min(F.struct("x.line", "own")).over(here)["own"])
-    outer = named.where("out").select("block", F.col("x").alias("one"), F.col("own").alias("own1"))
-    inner = named.select("block", F.col("x").alias("two"), F.col("own").alias("own2"), F.col("out").alias("out2"))
+    own = labels.select(F.col("node").alias("line"), F.col("component").alias("own"))
+    of = labels.select(F.col("node").alias("lead"), F.col("component").alias("of"))
+    named = shared.join(own, "line", "left").join(of, "lead", "left").select("block", "line", F.coalesce("own", "line").alias("own"), F.coalesce("of", "lead").alias("of"))
+    named = scratch.keep(named.withColumn("out", F.col("own") != F.col("of")), "named")
+    mixed = scratch.keep(named.where("out").select("block").distinct(), "mixed")
+    sides = named.join(mixed, "block").join(found.select("line", print_.alias("print")), "line").select("block", "own", "out", "print")
+    sides = scratch.keep(sides, "sides")
+    outer = sides.where("out").select("block", F.col("own").alias("own1"), F.col("print").alias("one"))
+    inner = sides.select("block", F.col("own").alias("own2"), F.col("out").alias("out2"), F.col("print").alias("two"))
     met = outer.join(inner, "block").where((F.col("own1") != F.col("own2")) & (~F.col("out2") | (F.col("own1") < F.col("own2"))) & _met("one", "two"))
     pairs = scratch.keep(met.select(F.col("one.line").alias("a"), F.col("two.line").alias("b")).distinct(), "pairs2")
-    more = scratch.keep(_verified(pairs, texts), "edges2")
-    if more.limit(1).count():
-        labels = components(edges.unionByName(more), scratch, "second")
-    scratch.drop("texts", "prints")
-    return places, labels
+    labels = extended(labels, scratch.keep(_verified(pairs, texts), "edges2"), scratch, "second")
+    scratch.drop("texts", "prints", "lead", "shared", "named", "mixed", "sides")
+    return rows.drop("norm"), labels
 
 
 def dedup(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents with one occurrence of every line: text without the others, and removed_lines, their number.
 
     Of a group of equal or near lines the occurrence in the smallest key (null first), and there the first, stays.
-    Lines of fewer than FEWEST characters, blank lines and null texts are never touched; a text that loses nothing is
-    unchanged, one that loses all is empty. Rows that repeat key and text count as one row and keep the same lines.
-    A line cut in pieces goes only if all of them do. All columns stay; an earlier removed_lines is replaced.
+    Lines without a letter or digit and null texts are never touched; a text that loses nothing is unchanged, one that
+    loses all is empty. Lines of fewer than five words have no near lines but equal ones and one of five words from
+    which a word is gone. Rows that repeat key and text count as one row and keep the same lines. A very long line is
+    a line like any other; the time of a comparison grows with the square of its words. An empty table gives an empty
+    one. All columns stay; an earlier removed_lines is replaced.
     """
     places, labels = groups(docs, scratch, key, text)
-    named = places.join(labels.withColumnRenamed("node", "line"), "line", "left")
-    named = scratch.keep(named.select("key", "mark", "at", "pieces", "piece", F.coalesce("component", "line").alias("component")), "named")
-    here = F.struct("key", "mark", "at", "piece")
-    first = named.groupBy("component").agg(F.min(here).alias("first"), F.count("*").alias("n")).where("n > 1").select("component", "first")
-    gone = named.join(first, "component").where(~here.eqNullSafe(F.col("first")))
-    part = F.struct("at", "piece", "pieces")
-    gone = gone.groupBy(F.col("key").alias("_key"), F.col("mark").alias("_mark")).agg(
-        F.collect_set(F.when(F.col("pieces") == 1, F.col("at"))).alias("one"), F.collect_set(F.when(F.col("pieces") > 1, part)).alias("some")
-    )
-    whole = F.filter("some", lambda x: F.size(F.filter("some", lambda y: y["at"] == x["at"])) == x["pieces"])
-    gone = gone.select("_key", "_mark", F.array_union("one", F.transform(whole, lambda x: x["at"])).alias("_gone"))
-    gone = scratch.keep(gone.where(F.size("_gone") > 0), "gone")
+    here = F.struct("key", "mark", "at")
+    lines = scratch.keep(places.groupBy("line").agg(F.min(here).alias("first"), F.count("*").alias("places")), "lines")
+    several = scratch.keep(lines.join(labels.withColumnRenamed("node", "line"), "line").select("line", "first", "places", "component"), "several")
+    lowest = scratch.keep(several.groupBy("component").agg(F.min("first").alias("lowest"), F.count("*").alias("lines")), "lowest")
+    moved = join_hot(several, lowest, "component", "lines").select("line", "places", F.col("lowest").alias("first"))
+    same = lines.where("places > 1").join(several.select("line"), "line", "left_anti").select("line", "places", "first")
+    told = scratch.keep(moved.unionByName(same), "told")
+    gone = join_hot(places, told, "line", "places").where(~here.eqNullSafe(F.col("first")))
+    gone = gone.groupBy(F.col("key").alias("_key"), F.col("mark").alias("_mark")).agg(F.collect_set("at").alias("_gone"))
+    gone = scratch.keep(gone, "gone")
+    scratch.drop("lines", "several", "lowest", "told")
     same = F.col(key).eqNullSafe(F.col("_key")) & (F.xxhash64(text) == F.col("_mark"))
-    left = F.filter(F.split(F.col(text), "\n"), lambda x, i: ~F.array_contains("_gone", i))
     found = docs.drop("removed_lines").join(gone, same, "left")
-    kept = F.when(F.col("_gone").isNull(), F.col(text)).otherwise(F.array_join(left, "\n"))
+    every = F.split(F.col(text), "\n")
+    rest = F.struct(every.alias("lines"), F.array_except(F.sequence(F.lit(0), F.size(every) - 1), F.col("_gone")).alias("left"))
+    left = F.transform(F.array(rest), lambda s: F.array_join(F.transform(s["left"], lambda i: F.get(s["lines"], i)), "\n"))[0]
+    kept = F.when(F.col("_gone").isNull(), F.col(text)).otherwise(left)
     columns = [kept.alias(c) if c == text else F.col(c) for c in docs.columns if c != "removed_lines"]
     return found.select(*columns, F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("removed_lines"))
