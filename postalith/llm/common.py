@@ -48,11 +48,11 @@ class Scratch:
         df.write.mode("overwrite").option("compression", compression).option(*_QUICK).parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
-    def bucketed(self, df: DataFrame, name: str, key: str) -> DataFrame:
+    def bucketed(self, df: DataFrame, name: str, key: str, compression: str = "snappy") -> DataFrame:
         """A table whose rows lie by the hash of a key: joins and aggregations on it need not move them."""
         count = max(1, int(self.spark.conf.get("spark.sql.shuffle.partitions")))
         table = f"postalith_{uuid.uuid4().hex}"
-        where = df.repartition(count, key).write.bucketBy(count, key).option("path", self.path(name))
+        where = df.repartition(count, key).write.bucketBy(count, key).option("path", self.path(name)).option("compression", compression).option(*_QUICK)
         where.saveAsTable(table)
         self.tables[name] = table
         return self.spark.table(table)
@@ -165,3 +165,22 @@ def join_hot(left: DataFrame, right: DataFrame, on: str, rows: str) -> DataFrame
     some = F.broadcast(right.where(hot))
     rest = left.join(some.select(on), on, "left_anti").join(right.where(~hot), on)
     return left.join(some, on).unionByName(rest)
+
+
+#: Numbers of 64 bits in the filter of perhaps: half a megabyte, whatever the table.
+NUMBERS = 1 << 16
+
+
+def perhaps(left: DataFrame, right: DataFrame, on: list[str], others: bool = False) -> DataFrame:
+    """The rows of left whose key may be in right, and some more; or, with others, all the rest, which surely is not.
+
+    A broadcast table of 2 ** 22 bits tells. So rows without a partner need not move before a join; where right
+    has very many keys no row is held back, and the join is the same. Keys are not null.
+    """
+    h = lambda: F.xxhash64(F.lit(3), *on)
+    number = lambda: F.pmod(F.shiftrightunsigned(h(), 6), F.lit(NUMBERS)).cast("int").alias("_number")
+    bit = lambda: F.call_function("shiftleft", F.lit(1).cast("long"), h().bitwiseAND(F.lit(63)).cast("int"))
+    bits = right.select(number(), bit().alias("_bit")).groupBy("_number").agg(F.bit_or("_bit").alias("_bits"))
+    told = left.select("*", number(), bit().alias("_bit")).join(F.broadcast(bits), "_number", "left")
+    has = F.coalesce(F.col("_bits").bitwiseAND(F.col("_bit")) != 0, F.lit(False))
+    return told.where(~has if others else has).select(*left.columns)

@@ -21,7 +21,8 @@ from postalith.llm.common import Scratch, components
 THRESHOLD = 0.95
 #: Vectors that the centroids are fitted to at most (those with the smallest hash of their id), and rounds of k-means.
 FITTED, ROUNDS = 20_000, 8
-#: Vectors in a cell on average, and cells at most: their centroids are sent to every task.
+#: Vectors in a cell on average, and cells at most: their centroids are sent to every task. Larger tables have larger
+#: cells, whose vectors meet in blocks.
 CELL, CELLS = 400, 4096
 #: Cells that a vector visits, its own included.
 VISITS = 6
@@ -91,19 +92,25 @@ def _valid(vector: str):
     return F.coalesce(v.isNotNull() & finite & F.exists(v, lambda x: x != 0), F.lit(False))
 
 
-def links(vectors: DataFrame, scratch: Scratch, key: str = "vec_id", vector: str = "embedding", threshold: float = THRESHOLD) -> DataFrame:
+def links(
+    vectors: DataFrame, scratch: Scratch, key: str = "vec_id", vector: str = "embedding", threshold: float = THRESHOLD,
+    visits: int = VISITS, spread: float = SPREAD, cell: int = CELL, cells: int = CELLS, exact: bool = False,
+) -> DataFrame:
     """Every vector's near-duplicates: key, n_links (other rows at the threshold or above), component_id, kept.
 
     component_id is the smallest key reachable by links, kept says whether it is the row's own. Vectors that are null,
     zero, or hold null or non-finite numbers, and rows with a null key, link with nothing (component_id: the key).
     Vectors of different dimensions never link. Equal vectors are compared once and counted as often as they stand.
     Which pairs are compared is approximate, what is reported is exact: no pair below the threshold is ever a link.
+    With exact=True no link is lost: a vector visits every cell that can hold a near one, and the products decide in
+    place of the codes. An empty table gives an empty one; other columns play no part, whatever their names.
     """
     rows = vectors.select(F.col(key).cast("long").alias("key"), F.col(vector).alias("v"))
     good = rows.where(F.col("key").isNotNull() & _valid("v"))
     unique = scratch.keep(good.groupBy("v").agg(F.min("key").alias("id"), F.count("*").alias("copies")).withColumn("dim", F.size("v")), "unique")
     dims = {r["dim"]: r["n"] for r in unique.groupBy("dim").agg(F.count("*").alias("n")).collect()}  # one row per dimension
-    parts = [_links_of(unique.where(F.col("dim") == d), n, d, threshold) for d, n in sorted(dims.items())]
+    how = {"visits": visits, "spread": spread, "cell": cell, "cells": cells, "exact": exact}
+    parts = [_links_of(unique.where(F.col("dim") == d), scratch, n, d, threshold, **how) for d, n in sorted(dims.items())]
     if not parts:
         return rows.select(F.col("key").alias(key), F.lit(0).cast("long").alias("n_links"), F.col("key").alias("component_id"), F.lit(True).alias("kept"))
     found = parts[0]
@@ -127,38 +134,51 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _links_of(unique: DataFrame, count: int, dim: int, threshold: float) -> DataFrame:
+def visited(x: np.ndarray, c: np.ndarray, threshold: float) -> list[np.ndarray]:
+    """For unit vectors all cells that can hold a vector at the threshold, their own first.
+
+    A near y is no farther than d from x, and if its cell is c then y c >= y o for x's own centroid o, so
+    x (o - c) <= d |o - c|.
+    """
+    reach = np.sqrt(max(0.0, 2 - 2 * threshold)) + 1e-9
+    dot = x @ c.T
+    own = dot.argmax(axis=1)
+    apart = np.sqrt(np.maximum(0, (c**2).sum(axis=1)[own][:, None] + (c**2).sum(axis=1) - 2 * c[own] @ c.T))
+    may = dot[np.arange(len(x)), own][:, None] - dot <= reach * apart + 1e-9
+    may[np.arange(len(x)), own] = False
+    return [np.concatenate([[o], np.flatnonzero(m)]).astype(np.int32) for o, m in zip(own, may)]
+
+
+def _links_of(unique: DataFrame, scratch: Scratch, count: int, dim: int, threshold: float, visits: int, spread: float, cell: int, cells: int, exact: bool) -> DataFrame:
     """Rows (a, null, n): a has n more links; rows (a, b, 0): a and b are linked, enough of them to connect groups."""
     taken = unique.orderBy(F.xxhash64("id"), "id").limit(FITTED).select("v").toPandas()["v"]
-    centre = centroids(unit(np.stack(taken.to_numpy())), min(CELLS, -(-count // CELL)))
+    centre = centroids(unit(np.stack(taken.to_numpy())), min(cells, -(-count // cell)))
     shared = unique.sparkSession.sparkContext.broadcast((centre, rotation(dim)))
-    visits = min(VISITS, len(centre))
+    visits = min(visits, len(centre))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A row for each visit: the cell, whether it is the vector's own, and all cells it visits, its own first."""
+        """The cells that every vector visits, its own first."""
         c = shared.value[0]
         for batch in batches:
-            for at in range(0, batch.num_rows, 2048):
-                part = batch.slice(at, 2048)
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
                 x = unit(part.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, dim))
-                near = np.argsort(-(x @ c.T), axis=1, kind="stable")[:, :visits].astype(np.int32)
-                n = len(x)
-                take = pa.array(np.repeat(np.arange(n), visits))
-                tell = pa.FixedSizeListArray.from_arrays(pa.array(near.ravel()), visits).cast(pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays(
-                    [*(part.column(i).take(take) for i in range(3)), pa.array(near.ravel()), pa.array(np.tile(np.arange(visits) == 0, n)), tell.take(take)],
-                    names=["id", "v", "copies", "cell", "own", "near"],
-                )
+                near = visited(x, c, threshold) if exact else list(np.argsort(-(x @ c.T), axis=1, kind="stable")[:, :visits].astype(np.int32))
+                ends = np.cumsum([0, *map(len, near)])
+                tell = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(near)))
+                yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(3)), tell], names=["id", "v", "copies", "near"])
 
     element = unique.schema["v"].dataType.simpleString()
-    dealt = unique.select("id", "v", "copies").mapInArrow(deal, f"id long, v {element}, copies long, cell int, own boolean, near array<int>")
+    dealt = unique.select("id", "v", "copies").mapInArrow(deal, f"id long, v {element}, copies long, near array<int>")
+    dealt = scratch.keep(dealt, f"dealt{dim}")
     # A cell is cut into blocks of held vectors and of asking ones (visitors and its own); each block meets each.
-    sizes = dealt.groupBy("cell").agg(F.ceil(F.count_if("own") / BLOCK).cast("int").alias("blocks"), F.ceil(F.count("*") / (2 * BLOCK)).cast("int").alias("turns"))
-    told = dealt.join(F.broadcast(sizes), "cell").where("blocks > 0")  # at most CELLS rows
+    visit = dealt.select(F.posexplode("near").alias("place", "cell"))
+    sizes = visit.groupBy("cell").agg(F.ceil(F.count_if(F.col("place") == 0) / BLOCK).cast("int").alias("blocks"), F.ceil(F.count("*") / (2 * BLOCK)).cast("int").alias("turns"))
+    sizes = F.broadcast(sizes.where("blocks > 0"))  # at most `cells` rows
     lot = lambda n: F.pmod(F.xxhash64(F.lit(n), "id"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    held = told.where("own").withColumn("block", lot("blocks")).withColumn("turn", every("turns")).withColumn("asks", F.lit(False))
-    asks = told.withColumn("turn", lot("turns")).withColumn("block", every("blocks")).withColumn("asks", F.lit(True))
+    held = dealt.withColumn("cell", F.col("near")[0]).join(sizes, "cell").withColumn("block", lot("blocks")).withColumn("turn", every("turns")).withColumn("asks", F.lit(False))
+    asks = dealt.withColumn("cell", F.explode("near")).join(sizes, "cell").withColumn("turn", lot("turns")).withColumn("block", every("blocks")).withColumn("asks", F.lit(True))
 
     def compare(part: pd.DataFrame) -> pd.DataFrame:
         none = pd.DataFrame({"a": pd.array([], "int64"), "b": pd.array([], "Int64"), "n": pd.array([], "int64")})
@@ -169,17 +189,19 @@ def _links_of(unique: DataFrame, count: int, dim: int, threshold: float) -> Data
         c = centre[part["cell"].iloc[0]]
         hx, ax = (unit(np.stack(p["v"].to_numpy())) for p in (h, a))
         (hid, hn), (aid, an) = ((p["id"].to_numpy(), p["copies"].to_numpy()) for p in (h, a))
-        hnear, home = np.stack(h["near"].to_numpy()), np.stack(a["near"].to_numpy())[:, 0]
-        codes, asking = Codes(hx, c, turn), Codes(ax, c, turn)
+        hnear, home = np.full((len(h), h["near"].map(len).max()), -1), np.array([x[0] for x in a["near"]])
+        for i, x in enumerate(h["near"]):
+            hnear[i, : len(x)] = x
+        codes, asking = (None, None) if exact else (Codes(hx, c, turn), Codes(ax, c, turn))
         gain_a, gain_h = np.zeros(len(aid), np.int64), np.zeros(len(hid), np.int64)
         left, right = [], []
         for at in range(0, len(aid), STEP):
-            _, high = bounds(asking[at : at + STEP], codes, float(c @ c))
+            high = ax[at : at + STEP] @ hx.T + 1e-9 if exact else bounds(asking[at : at + STEP], codes, float(c @ c), spread)[1]
             i, j = np.nonzero(high >= threshold)
             differ = aid[i + at] != hid[j]
             i, j = i[differ] + at, j[differ]
-            exact = np.concatenate([np.zeros(0), *(np.einsum("ij,ij->i", ax[i[s : s + 65536]], hx[j[s : s + 65536]]) for s in range(0, len(i), 65536))])
-            i, j = i[exact >= threshold], j[exact >= threshold]
+            product = np.concatenate([np.zeros(0), *(np.einsum("ij,ij->i", ax[i[s : s + 65536]], hx[j[s : s + 65536]]) for s in range(0, len(i), 65536))])
+            i, j = i[product >= threshold], j[product >= threshold]
             gain_a += np.bincount(i, hn[j], len(aid)).astype(np.int64)
             # a pair is met again the other way round only if the held vector visits the asking one's cell
             once = ~(hnear[j] == home[i][:, None]).any(axis=1)

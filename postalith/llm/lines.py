@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postalith.llm.common import Scratch, components, extended, join_hot
+from postalith.llm.common import Scratch, components, extended, join_hot, perhaps
 
 #: Least similarity: 1 - distance / words of the longer.
 SIMILAR = 0.8
@@ -49,52 +49,58 @@ def _shift(name: str, value: Column, by: Column | int) -> Column:
     return F.call_function(name, value, F.lit(by) if isinstance(by, int) else by)
 
 
-def _words(norm: Column) -> Column:
-    """A number for each word: its hash, with its length (63 at most) in the last six bits."""
-    code = lambda w: F.xxhash64(w).bitwiseAND(F.lit(-64)).bitwiseOR(F.least(F.length(w), F.lit(63)).cast("long"))
-    return F.transform(F.split(norm, " "), code)
+def _explode(texts: DataFrame, *keep: str) -> DataFrame:
+    """A row for every word of lines of four words or more, with the words after it: keep, n (words), hashes a, b, c and lengths x, y, z.
 
-
-def _block(seed: int, *words: str) -> Column:
-    """The least hash of the words that start in each place."""
-    letters = sum((F.coalesce(F.col(w).bitwiseAND(F.lit(63)), F.lit(0)) for w in words), F.lit(0))
-    doubled = F.least(_shift("shiftrightunsigned", letters, EACH.bit_length() - 1), F.lit(DOUBLED)).cast("int")
-    return F.min(_shift("shiftrightunsigned", F.xxhash64(F.lit(seed), *words), doubled + 1))
+    A line of three words or fewer has no near lines but equal ones.
+    """
+    split = texts.select(*keep, F.split("norm", " ").alias("w")).select(*keep, F.size("w").alias("n"), "w").where("n >= 4")
+    rows = split.select(*keep, "n", "w", F.posexplode("w").alias("i", "u"))
+    rows = rows.select(*keep, "n", "u", F.get("w", F.col("i") + 1).alias("v"), F.get("w", F.col("i") + 2).alias("t"))
+    code = lambda w: F.when(F.col(w).isNotNull(), F.xxhash64(w))
+    size = lambda w: F.coalesce(F.length(w), F.lit(0))
+    return rows.select(*keep, "n", *(code(w).alias(c) for w, c in zip("uvt", "abc")), *(size(w).alias(c) for w, c in zip("uvt", "xyz")))
+
+
+def keyed(rows: DataFrame) -> DataFrame:
+    """line and its blocks, for every line of rows (line, norm): one row, but two for lines that are neither short nor long."""
+    kinds = F.when(F.col("n") < LONG, F.array(F.lit(2))).when(F.col("n") > SHORT, F.array(F.lit(3))).otherwise(F.array(F.lit(2), F.lit(3)))
+    sized = rows.select("line", "norm", F.size(F.split("norm", " ")).alias("n")).select("line", "norm", F.explode(kinds).alias("kind"))
+    words = _explode(sized, "line", "kind")
+    third = F.col("kind") == 3
+    words = words.select("line", "kind", "a", "b", F.when(third, F.col("c")).alias("c"), (F.col("x") + F.col("y") + F.when(third, F.col("z")).otherwise(0)).alias("letters"))
+    doubled = F.least(_shift("shiftrightunsigned", F.col("letters"), EACH.bit_length() - 1), F.lit(DOUBLED)) + 1
+    words = words.select("line", "kind", "a", "b", "c", doubled.cast("int").alias("doubled"))
+    least = [F.min(_shift("shiftrightunsigned", F.xxhash64(F.lit(i), "a", "b", "c"), F.col("doubled"))).alias(f"m{i}") for i in range(BLOCKS)]
+    found = words.groupBy("line", "kind").agg(*least)
+    return found.select("line", F.array(*[F.xxhash64(F.lit(i), "kind", f"m{i}") for i in range(BLOCKS)]).alias("blocks"))
 
 
 def _simhash(sums: list[str], n: str) -> Column:
-    """The fingerprint: each sum counts two bits of the words' hashes, 32 bits apart; a bit is set in most of the words."""
+    """The fingerprint: each sum counts two bits of the words' hashes, 32 bits apart; a bit is set if most words have it."""
     out = None
     for i, s in enumerate(sums):
         low, high = F.col(s).bitwiseAND(F.lit((1 << 32) - 1)), F.shiftrightunsigned(F.col(s), 32)
-        bits = [F.when(x * 2 > F.col(n), F.lit(1 << at if at < 63 else -(1 << 63))).otherwise(F.lit(0)) for x, at in ((low, i), (high, i + 32))]
-        both = bits[0].bitwiseOR(bits[1])
-        out = both if out is None else out.bitwiseOR(both)
+        for x, at in ((low, i), (high, i + 32)):
+            bit = F.when(x * 2 > F.col(n), F.lit(1 << at if at < 63 else -(1 << 63))).otherwise(F.lit(0)).cast("long")
+            out = bit if out is None else out.bitwiseOR(bit)
     return out
 
 
 def prints(texts: DataFrame) -> DataFrame:
-    """For every line (line, norm) of four words or more: line, n (words), simhash, two sketches, blocks.
+    """For every line (line, norm) of four words or more: line, n (words), simhash and two sketches.
 
-    Each word flips one bit of a sketch: an edit flips two of the 128 bits at most. Shorter lines have no near ones.
+    Each word flips one bit of a sketch: an edit flips two of the 128 bits at most.
     """
-    next_ = lambda i, by: F.get(F.col("w"), i + by)
-    here = F.transform("w", lambda x, i: F.struct(x.alias("a"), next_(i, 1).alias("b"), next_(i, 2).alias("c")))
-    rows = texts.select("line", _words(F.col("norm")).alias("w")).where(F.size("w") >= 4)
-    rows = rows.select("line", F.size("w").alias("n"), F.explode(here).alias("x")).select("line", "n", "x.*")
-    h = F.xxhash64("a")  # the last bits of a are a length
+    words = _explode(texts, "line")
     lanes = F.lit((1 << 32) + 1)
-    sums = [F.sum(_shift("shiftrightunsigned", h, i).bitwiseAND(lanes)).alias(f"s{i}") for i in range(32)]
-    bit = _shift("shiftleft", F.lit(1).cast("long"), _shift("shiftrightunsigned", F.col("a"), 8).bitwiseAND(F.lit(63)).cast("int"))
-    odd = F.col("a").bitwiseAND(F.lit(128)) != 0
+    sums = [F.sum(_shift("shiftrightunsigned", F.col("a"), i).bitwiseAND(lanes)).alias(f"s{i}") for i in range(32)]
+    h = F.xxhash64(F.lit(7), "a")
+    bit = _shift("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int"))
+    odd = h.bitwiseAND(F.lit(64)) != 0
     halves = [F.bit_xor(F.when(x, bit).otherwise(F.lit(0).cast("long"))).alias(c) for x, c in ((odd, "odd"), (~odd, "even"))]
-    pairs = [_block(-1 - i, "a", "b").alias(f"p{i}") for i in range(BLOCKS)]
-    triples = [_block(i, "a", "b", "c").alias(f"t{i}") for i in range(BLOCKS)]
-    found = rows.groupBy("line", "n").agg(*sums, *halves, *pairs, *triples)
-    named = lambda c, k: F.array(*[F.xxhash64(F.lit(k + i), f"{c}{i}") for i in range(BLOCKS)])
-    short, long = named("p", 0), named("t", BLOCKS)
-    blocks = F.when(F.col("n") < LONG, short).when(F.col("n") > SHORT, long).otherwise(F.concat(short, long))
-    return found.select("line", "n", _simhash([f"s{i}" for i in range(32)], "n").alias("simhash"), "odd", "even", blocks.alias("blocks"))
+    found = words.groupBy("line", "n").agg(*sums, *halves)
+    return found.select("line", "n", _simhash([f"s{i}" for i in range(32)], "n").alias("simhash"), "odd", "even")
 
 
 def _met(one: str, two: str) -> Column:
@@ -107,18 +113,18 @@ def _met(one: str, two: str) -> Column:
 
 def _as_letters(words: Column, names: Column) -> Column:
     """A text with one letter for each word, by its place among the names: edit distance over words is then one over letters."""
-    at = lambda w: F.array_position(names, w) + 256
-    code = lambda w: F.lpad(F.hex(F.when(at(w) < 0xD800, at(w)).otherwise(at(w) + 0x800)), 8, "0")
-    return F.decode(F.unhex(F.array_join(F.transform(words, code), "")), "UTF-32")
+    places = F.transform(words, lambda w: F.array_position(names, w) + 256)
+    code = lambda at: F.lpad(F.hex(at + F.when(at < 0xD800, 0).otherwise(0x800)), 8, "0")
+    return F.decode(F.unhex(F.array_join(F.transform(places, code), "")), "UTF-32")
 
 
 def near(x: Column, y: Column) -> Column:
     """Whether the edit distance of two lists of words leaves them similar enough. Different words never count as equal."""
     most = F.floor(F.greatest(F.size(x), F.size(y)) * (1 - SIMILAR) + 1e-9).cast("int")
     names = F.array_distinct(F.concat(x, y))
-    told = F.transform(F.array(F.struct(x.alias("x"), y.alias("y"), names.alias("names"))), lambda s: F.levenshtein(_as_letters(s["x"], s["names"]), _as_letters(s["y"], s["names"])))
-    few = F.size(F.array_except(x, y)) <= most
-    return F.when(few & (F.size(F.array_except(y, x)) <= most), told[0] <= most).otherwise(F.lit(False))
+    all_ = F.array(F.struct(x.alias("x"), y.alias("y"), names.alias("names"), most.alias("most")))
+    told = F.transform(all_, lambda s: F.call_function("levenshtein", _as_letters(s["x"], s["names"]), _as_letters(s["y"], s["names"]), s["most"]) >= 0)
+    return F.when((F.size(F.array_except(x, y)) <= most) & (F.size(F.array_except(y, x)) <= most), told[0]).otherwise(F.lit(False))
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -134,13 +140,17 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 def groups(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """Two tables: places (key, mark, at, line) of all lines compared, and (node, component) of lines with near ones."""
     rows = scratch.keep(compared(docs, key, text), "rows", compression="zstd")
-    # bucketed by line: neither the words' aggregation nor the joins of pairs with their texts move the texts again
-    texts = scratch.bucketed(rows.select("line", "norm").distinct(), "texts", "line")
-    found = scratch.keep(prints(texts), "prints")
-    blocks = found.select("line", F.explode("blocks").alias("block"))
+    lined = scratch.keep(keyed(rows), "keyed")
+    blocks = lined.select("line", F.explode("blocks").alias("block"))
     # written, so that joins on a block that very many lines share can be split
     lead = scratch.keep(blocks.groupBy("block").agg(F.min("line").alias("lead"), F.count("*").alias("lines")).where("lines > 1").drop("lines"), "lead")
     shared = scratch.keep(blocks.join(lead, "block"), "shared")
+    scratch.drop("keyed", "lead")
+    needed = scratch.keep(shared.select("line").distinct(), "needed")
+    some = perhaps(rows.select("line", "norm"), needed, ["line"]).distinct().join(needed, "line")
+    # bucketed by line: neither the words' aggregation nor the joins of pairs with their texts move the texts again
+    texts = scratch.bucketed(some, "texts", "line", "zstd")
+    found = scratch.keep(prints(texts), "prints")
     print_ = F.struct("line", "n", "simhash", "odd", "even")
 
     def possible(pairs: DataFrame, name: str) -> DataFrame:
@@ -165,7 +175,7 @@ def groups(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "
     met = outer.join(inner, "block").where((F.col("own1") != F.col("own2")) & (~F.col("out2") | (F.col("own1") < F.col("own2"))) & _met("one", "two"))
     pairs = scratch.keep(met.select(F.col("one.line").alias("a"), F.col("two.line").alias("b")).distinct(), "pairs2")
     labels = extended(labels, scratch.keep(_verified(pairs, texts), "edges2"), scratch, "second")
-    scratch.drop("texts", "prints", "lead", "shared", "named", "mixed", "sides")
+    scratch.drop("texts", "prints", "shared", "needed", "named", "mixed", "sides")
     return rows.drop("norm"), labels
 
 
@@ -190,12 +200,17 @@ def dedup(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "t
     gone = join_hot(places, told, "line", "places").where(~here.eqNullSafe(F.col("first")))
     gone = gone.groupBy(F.col("key").alias("_key"), F.col("mark").alias("_mark")).agg(F.collect_set("at").alias("_gone"))
     gone = scratch.keep(gone, "gone")
-    scratch.drop("lines", "several", "lowest", "told")
-    same = F.col(key).eqNullSafe(F.col("_key")) & (F.xxhash64(text) == F.col("_mark"))
-    found = docs.drop("removed_lines").join(gone, same, "left")
+    scratch.drop("rows", "lines", "several", "lowest", "told")
+    docs = docs.drop("removed_lines")
+    mark = F.xxhash64(text)
+    same = F.col(key).eqNullSafe(F.col("_key")) & (mark == F.col("_mark"))
+    marks = gone.select(F.col("_mark").alias("_own"))
     every = F.split(F.col(text), "\n")
     rest = F.struct(every.alias("lines"), F.array_except(F.sequence(F.lit(0), F.size(every) - 1), F.col("_gone")).alias("left"))
     left = F.transform(F.array(rest), lambda s: F.array_join(F.transform(s["left"], lambda i: F.get(s["lines"], i)), "\n"))[0]
     kept = F.when(F.col("_gone").isNull(), F.col(text)).otherwise(left)
-    columns = [kept.alias(c) if c == text else F.col(c) for c in docs.columns if c != "removed_lines"]
-    return found.select(*columns, F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("removed_lines"))
+    columns = [kept.alias(c) if c == text else F.col(c) for c in docs.columns]
+    changed = perhaps(docs.withColumn("_own", mark), marks, ["_own"]).drop("_own").join(gone, same, "left")
+    others = perhaps(docs.withColumn("_own", mark), marks, ["_own"], others=True).drop("_own")
+    changed = changed.select(*columns, F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("removed_lines"))
+    return changed.unionByName(others.withColumn("removed_lines", F.lit(0).cast("long")))

@@ -38,9 +38,8 @@ def op1_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words the mix takes of every document, against its source's target."""
     chosen = mixing.decide(table(spark, sf_dir, "documents"), Scratch(spark, "op2"))
-    return chosen.withColumn("_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("documents")))).select(
-        "doc_id", "source", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies"
-    )
+    rows = mixing.each(chosen, [F.col(c) for c in ("doc_id", "source", "size", "source_size", "target")])
+    return rows.select("doc_id", "source", "size", "source_size", "target", (F.col("size") * F.col("taken")).alias("taken"), F.col("taken").alias("copies"))
 
 
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,7 +17,6 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 @pytest.fixture(scope="module")
 def exact():
     t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
     return lambda texts: [np.array(e.ids, dtype="<u4").tobytes() for e in t.encode_batch_fast(texts, add_special_tokens=False)]
 
 
@@ -32,6 +31,24 @@ def test_odd_texts(exact):
     assert packing.Encoder(PATH).ids(texts) == exact(texts)
 
 
+def test_added_tokens_are_single_ids(exact):
+    end = "<|endoftext|>"
+    texts = [end, f"a{end}b", f"{end}a b", f"a b {end}", f"{end}{end}", f" {end} {end}\n", f"x {end}  y", "<|endoftext|", f"<|{end}|>", f"don{end}'t"]
+    got = packing.Encoder(PATH).ids(texts)
+    assert got == exact(texts)
+    assert np.frombuffer(got[1], "<u4").tolist() == [64, 50256, 65]
+
+
+def test_padding_is_small_and_very_long_texts_are_cut(spark, exact):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    docs = docs.union(spark.createDataFrame([(-1, "long words of a text " * 60_000)], docs.schema))
+    rows = packing.pack(packing.pieces(docs, PATH), Scratch(spark, "t")).select("doc_id", "start", "length", "doc_tokens", "sequence_id").toPandas()
+    assert packing.padding(rows) < 0.01 * rows["length"].sum()
+    long = rows[rows["doc_id"] == -1].sort_values("start")
+    assert long["length"].sum() == long["doc_tokens"].iloc[0] == len(exact(["long words of a text " * 60_000])[0]) // 4 + 1
+    assert (long["length"].iloc[:-1] == 1024).all()
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.dictionaries(st.integers(1, 32), st.integers(1, 40), max_size=32))
 def test_plan_places_every_piece_once(histogram):
