@@ -10,8 +10,9 @@ by the pigeonhole principle near lines are missed only if all six least ones lie
 itself into blocks does not reach this similarity: a fifth of the words changed moves a fifth of its bits, so blocks
 that stay whole are too short to tell lines apart.
 
-Lines are first compared with the leader of those that share a block. What connects so is one group; after that only
-lines outside the leader's group are compared, so a line with thousands of variants costs about one comparison each.
+Lines are first compared with the leader of those that share a block. What connects so is one group; then those outside
+the leader's group and all others meet one of them, and at last what is still outside meets all others, sketches
+filtering in the join. So a line with thousands of variants costs a few comparisons each.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postalith.llm.common import Scratch, components, extended, join_hot, perhaps
+from postalith.llm.common import PART, Scratch, components, extended, join_hot, perhaps
 
 #: Least similarity: 1 - distance / words of the longer.
 SIMILAR = 0.8
@@ -31,6 +32,10 @@ SHORT, LONG = 14, 12
 EACH, DOUBLED = 4, 6
 #: Bits by which SimHashes of near lines may differ: 13 expected where a fifth of the words changed, and 3.4 deviations.
 BITS = 24
+#: Rounds after the first: in all but the last, lines meet one that no leader has reached yet.
+TURNS = 3
+#: Parts that the pairs of a line with very many are cut in.
+SALTS = 64
 
 
 def normal(line: Column) -> Column:
@@ -111,30 +116,44 @@ def _met(one: str, two: str) -> Column:
     return (F.least(n, m) >= alike) & (apart("odd") + apart("even") <= n + m - 2 * alike) & (apart("simhash") <= BITS)
 
 
-def _as_letters(words: Column, names: Column) -> Column:
-    """A text with one letter for each word, by its place among the names: edit distance over words is then one over letters."""
-    places = F.transform(words, lambda w: F.array_position(names, w) + 256)
-    code = lambda at: F.lpad(F.hex(at + F.when(at < 0xD800, 0).otherwise(0x800)), 8, "0")
+def _letters(places: Column) -> Column:
+    """A text with one letter for each number below 2 ** 20: edit distance over words is then one over letters."""
+    code = lambda at: F.lpad(F.hex(at + F.when(at < 0xD700, 0x100).otherwise(0x900)), 8, "0")
     return F.decode(F.unhex(F.array_join(F.transform(places, code), "")), "UTF-32")
 
 
 def near(x: Column, y: Column) -> Column:
-    """Whether the edit distance of two lists of words leaves them similar enough. Different words never count as equal."""
-    most = F.floor(F.greatest(F.size(x), F.size(y)) * (1 - SIMILAR) + 1e-9).cast("int")
+    """Whether the edit distance of two lists of words leaves them similar enough. Different words never count as equal.
+
+    Words become letters by a hash, which can only make lists seem nearer. Where two words of a near pair share a
+    letter, letters are dealt again by the words' places among those of both.
+    """
     names = F.array_distinct(F.concat(x, y))
-    all_ = F.array(F.struct(x.alias("x"), y.alias("y"), names.alias("names"), most.alias("most")))
-    told = F.transform(all_, lambda s: F.call_function("levenshtein", _as_letters(s["x"], s["names"]), _as_letters(s["y"], s["names"]), s["most"]) >= 0)
-    return F.when((F.size(F.array_except(x, y)) <= most) & (F.size(F.array_except(y, x)) <= most), told[0]).otherwise(F.lit(False))
+    most = F.floor(F.greatest(F.size(x), F.size(y)) * (1 - SIMILAR) + 1e-9).cast("int")
+    hashed = lambda words: F.transform(words, lambda w: F.xxhash64(w).bitwiseAND(F.lit((1 << 20) - 1)))
+    placed = lambda words, all_: F.transform(words, lambda w: F.array_position(all_, w))
+    within = lambda u, v, most: F.call_function("levenshtein", _letters(u), _letters(v), most) >= 0
+    apart = F.size(F.array_distinct(hashed(names))) == F.size(names)
+    once = F.array(F.struct(x.alias("x"), y.alias("y"), names.alias("names"), apart.alias("apart"), most.alias("most")))
+    sure = F.transform(once, lambda s: s["apart"] | within(placed(s["x"], s["names"]), placed(s["y"], s["names"]), s["most"]))[0]
+    few = (F.size(F.array_except(x, y)) <= most) & (F.size(F.array_except(y, x)) <= most)
+    return F.when(few & within(hashed(x), hashed(y), most), sure).otherwise(F.lit(False))
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) of lines that are near."""
+    """The pairs (a, b) of lines that are near. A line b with very many pairs is salted, so they need no common task."""
+    counts = pairs.groupBy(F.col("b").alias("hot")).agg(F.count("*").alias("n"))
+    total = pairs.count()
+    hot = F.broadcast(counts.where((F.col("n") >= PART) & (F.col("n") * PART >= total)).select("hot"))  # PART rows at most
+    salt = F.when(F.col("hot").isNotNull(), F.pmod(F.xxhash64("a"), F.lit(SALTS))).otherwise(F.lit(0).cast("long"))
+    salted = pairs.join(hot, F.col("b") == F.col("hot"), "left").select("a", "b", salt.alias("salt"))
+    ends = texts.join(pairs.select(F.col("b").alias("line")).distinct().hint("shuffle_hash"), "line").join(hot, F.col("line") == F.col("hot"), "left")
+    salts = F.when(F.col("hot").isNotNull(), F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).otherwise(F.array(F.lit(0).cast("long")))
+    right = ends.select(F.col("line").alias("b"), F.col("norm").alias("y"), F.explode(salts).alias("salt"))
+    both = salted.join(right, ["b", "salt"]).select("a", "b", "y")
     left = texts.select(F.col("line").alias("a"), F.col("norm").alias("x"))
-    right = texts.select(F.col("line").alias("b"), F.col("norm").alias("y"))
-    # few pairs meet many texts: hashing the pairs' partitions spares sorting the texts
-    both = left.join(pairs.hint("shuffle_hash"), "a")
-    both = right.join(both.hint("shuffle_hash"), "b").select("a", "b", F.split("x", " ").alias("x"), F.split("y", " ").alias("y"))
-    return both.where(near(F.col("x"), F.col("y"))).select("a", "b")
+    both = left.join(both.hint("shuffle_hash"), "a").select("a", "b", F.array(F.struct(F.split("x", " ").alias("x"), F.split("y", " ").alias("y"))).alias("two"))
+    return both.where(F.exists("two", lambda s: near(s["x"], s["y"]))).select("a", "b")
 
 
 def groups(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -153,29 +172,34 @@ def groups(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "
     found = scratch.keep(prints(texts), "prints")
     print_ = F.struct("line", "n", "simhash", "odd", "even")
 
-    def possible(pairs: DataFrame, name: str) -> DataFrame:
-        """The pairs (a, b) that the prints do not rule out."""
+    def verified(pairs: DataFrame, turn: int) -> DataFrame:
+        """The pairs (a, b) that are near; prints rule most of the others out."""
         one, two = (found.select(F.col("line").alias(c), print_.alias(p)) for c, p in (("a", "one"), ("b", "two")))
-        return scratch.keep(pairs.distinct().join(one, "a").join(two, "b").where(_met("one", "two")).select("a", "b"), name)
+        some = pairs.distinct().join(one, "a").join(two, "b").where(_met("one", "two")).select("a", "b")
+        return scratch.keep(_verified(scratch.keep(some, f"pairs{turn}"), texts), f"edges{turn}")
 
     led = shared.where("line <> lead").select(F.col("line").alias("a"), F.col("lead").alias("b"))
-    edges = scratch.keep(_verified(possible(led, "pairs1"), texts), "edges1")
-    labels = components(edges, scratch, "first")
-
-    # lines of the leader's group need not meet each other: only the others meet all
-    own = labels.select(F.col("node").alias("line"), F.col("component").alias("own"))
-    of = labels.select(F.col("node").alias("lead"), F.col("component").alias("of"))
-    named = shared.join(own, "line", "left").join(of, "lead", "left").select("block", "line", F.coalesce("own", "line").alias("own"), F.coalesce("of", "lead").alias("of"))
-    named = scratch.keep(named.withColumn("out", F.col("own") != F.col("of")), "named")
-    mixed = scratch.keep(named.where("out").select("block").distinct(), "mixed")
-    sides = named.join(mixed, "block").join(found.select("line", print_.alias("print")), "line").select("block", "own", "out", "print")
-    sides = scratch.keep(sides, "sides")
-    outer = sides.where("out").select("block", F.col("own").alias("own1"), F.col("print").alias("one"))
-    inner = sides.select("block", F.col("own").alias("own2"), F.col("out").alias("out2"), F.col("print").alias("two"))
-    met = outer.join(inner, "block").where((F.col("own1") != F.col("own2")) & (~F.col("out2") | (F.col("own1") < F.col("own2"))) & _met("one", "two"))
-    pairs = scratch.keep(met.select(F.col("one.line").alias("a"), F.col("two.line").alias("b")).distinct(), "pairs2")
-    labels = extended(labels, scratch.keep(_verified(pairs, texts), "edges2"), scratch, "second")
-    scratch.drop("texts", "prints", "shared", "needed", "named", "mixed", "sides")
+    labels = components(verified(led, 0), scratch, "first")
+    for turn in range(1, TURNS + 1):
+        # lines of the leader's group need not meet each other: only the others meet
+        own = labels.select(F.col("node").alias("line"), F.col("component").alias("own"))
+        of = labels.select(F.col("node").alias("lead"), F.col("component").alias("of"))
+        named = shared.join(own, "line", "left").join(of, "lead", "left").select("block", "line", F.coalesce("own", "line").alias("own"), F.coalesce("of", "lead").alias("of"))
+        named = scratch.keep(named.withColumn("out", F.col("own") != F.col("of")), f"named{turn}")
+        lead = scratch.keep(named.where("out").groupBy("block").agg(F.min(F.struct("line", "own")).alias("new")), f"lead{turn}")
+        mixed = named.join(lead, "block")
+        if turn < TURNS:  # one of them leads all that are not of its group
+            pairs = mixed.where(F.col("own") != F.col("new.own")).select(F.col("line").alias("a"), F.col("new.line").alias("b"))
+        else:  # all that are left
+            sides = mixed.join(found.select("line", print_.alias("print")), "line").select("block", "own", "out", "print")
+            sides = scratch.keep(sides, "sides")
+            outer = sides.where("out").select("block", F.col("own").alias("own1"), F.col("print").alias("one"))
+            inner = sides.select("block", F.col("own").alias("own2"), F.col("out").alias("out2"), F.col("print").alias("two"))
+            met = outer.join(inner, "block").where((F.col("own1") != F.col("own2")) & (~F.col("out2") | (F.col("own1") < F.col("own2"))) & _met("one", "two"))
+            pairs = met.select(F.col("one.line").alias("a"), F.col("two.line").alias("b"))
+        labels = extended(labels, verified(pairs, turn), scratch, f"more{turn}")
+        scratch.drop(f"named{turn}", f"lead{turn}")
+    scratch.drop("texts", "prints", "shared", "needed", "sides")
     return rows.drop("norm"), labels
 
 
