@@ -1,7 +1,7 @@
 """Language of texts and of their parts.
 
-The script ranges of a word's letters narrow the languages it may be in; hashed character pairs and triples score it
-in each; Viterbi with a penalty for each change labels spans of mixed text. A text whose best single language no
+The script ranges of a word's letters narrow the languages it may be in: those that hardly use one of them are out,
+unless that leaves none. Hashed character pairs and triples score it in each; Viterbi with a penalty for each change labels spans of mixed text. A text whose best single language no
 stretch of words outweighs by the penalty needs no search: one span is then the best path.
 """
 
@@ -18,11 +18,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Rows that training may use at most: those with the smallest hash of their key.
-TAUGHT = 6_000
+#: Rows that training uses, about: as many of each language, chosen by the hash of their key; and languages it learns
+#: at most, the most frequent ones.
+TAUGHT, LANGUAGES = 6_000, 200
 BUCKETS = 1 << 16
-#: Cost of a change of language, in nats; cost of a letter from a range the language hardly uses.
-SWITCH, STRANGE = 12.0, 6.0
+#: Cost of a change of language, in nats; what puts a word out of a language that hardly uses a range of its letters.
+SWITCH, OUT = 12.0, 1e4
 #: Share of a language's letters that a range must hold for the language to stay a candidate.
 RARE = 2e-4
 SMOOTH = 0.05
@@ -40,11 +41,8 @@ RANGES = np.array([
 
 @cache
 def _letters() -> np.ndarray:
-    """Which code points are letters or marks that belong to them."""
-    out = np.zeros(0x110000, dtype=bool)
-    for c in range(0x110000):
-        out[c] = unicodedata.category(chr(c))[0] in "LM"
-    return out
+    """For every code point 2 if it is a letter, 1 if it is a mark that may belong to one, else 0."""
+    return np.array(["ML".find(unicodedata.category(chr(c))[0]) + 1 for c in range(0x110000)], dtype=np.int8)
 
 
 def _lower(text: str) -> str:
@@ -54,20 +52,26 @@ def _lower(text: str) -> str:
 
 @dataclass
 class Model:
-    """Languages in code point order; log odds of buckets and ranges, a column for each language."""
+    """Languages in code point order; log odds of buckets, and which ranges are hardly used, a column for each language."""
 
     languages: list[str]
     grams: np.ndarray
-    ranges: np.ndarray
+    strange: np.ndarray
 
 
 def _grams(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of lower-cased text with a space at both ends: first and last+1 place of each word, letters, bucket of each place twice."""
+    """Of lower-cased text with a space at both ends: first and last+1 place of each word, letters, bucket of each place twice.
+
+    A word is a run of letters and marks with a letter in it.
+    """
     c = np.frombuffer(text.encode("utf-32-le", "replace"), dtype=np.uint32)
-    letter = _letters()[c]
-    c = np.where(letter, c, 0).astype(np.uint32)
-    edge = np.diff(letter.astype(np.int8))
+    kind = _letters()[c]
+    c = np.where(kind > 0, c, 0).astype(np.uint32)
+    edge = np.diff((kind > 0).astype(np.int8))
     first, last = np.flatnonzero(edge == 1) + 1, np.flatnonzero(edge == -1) + 1
+    if len(first) and (kind[first] == 1).any():
+        some = np.maximum.reduceat(kind, first) == 2
+        first, last = first[some], last[some]
     one = np.concatenate([[0], c[:-1]]).astype(np.uint32)
     two = np.where(one == 0, 0, np.concatenate([[0, 0], c[:-2]])).astype(np.uint32)
     pair = one * np.uint32(0x9E3779B1) ^ c * np.uint32(0x85EBCA77)
@@ -77,6 +81,19 @@ def _grams(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     return np.stack([first, last]), c, pair, triple
 
 
+def _out(model: Model, words: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Whether the ranges of a word's letters put it out of each language; a word that would be out of all is out of none."""
+    seen = np.flatnonzero(c > 0 if model.strange[0].any() else c >= RANGES[1])
+    out = np.zeros((words.shape[1], len(model.languages)), bool)
+    if len(seen):
+        word, range_ = np.searchsorted(words[0], seen, side="right") - 1, np.searchsorted(RANGES, c[seen], side="right") - 1
+        odd = model.strange[range_]
+        for i in np.flatnonzero(odd.any(axis=0)):
+            out[word[odd[:, i]], i] = True
+    out[out.all(axis=1)] = False
+    return out
+
+
 def word_scores(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of all words of the texts: text number, first place, last+1 place, and score in each language."""
     chunk = max(10_000, CHUNK * 4 // max(4, len(model.languages)))
@@ -100,11 +117,10 @@ def word_scores(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray,
         if words.shape[1]:
             by = model.grams[triple]
             by += model.grams[pair]
-            wide = np.flatnonzero(c >= 0x80)
-            by[wide] += model.ranges[np.searchsorted(RANGES, c[wide], side="right") - 1]
             # a word is scored from its first letter to the place after its last, which holds the ending
             bounds = np.stack([words[0], words[1] + 1]).T.ravel()
             score = np.add.reduceat(np.concatenate([by, np.zeros((1, by.shape[1]), by.dtype)]), bounds, axis=0)[::2]
+            score[_out(model, words, c)] -= OUT
             starts = np.cumsum([1, *(len(p[2]) + 1 for p in held)])
             own = np.searchsorted(starts, words[0], side="right") - 1
             shift = np.array([p[1] for p in held]) - starts[:-1]
@@ -174,16 +190,20 @@ SPANS = T.ArrayType(T.StructType([T.StructField("begin", T.LongType()), T.Struct
 _PA_SPAN = pa.struct([("begin", pa.int64()), ("end", pa.int64()), ("lang", pa.string())])
 
 
-def train(docs: DataFrame, key: str = "doc_id", lang: str = "lang", text: str = "text", most: int = TAUGHT) -> Model:
-    """Learn from the texts of at most `most` rows with a language, chosen by the hash of their key.
+def train(docs: DataFrame, key: str = "doc_id", lang: str = "lang", text: str = "text", most: int = TAUGHT, languages: int = LANGUAGES) -> Model:
+    """Learn from the texts of about `most` rows with a language, as many of each, chosen by the hash of their key.
 
-    Their statistics are summed on the executors; the driver gets a number per language and bucket. Rows with a null
-    key, language or text teach nothing. A language that is taught by no letter is not learned.
+    Their statistics are summed on the executors; the driver gets a number per language and bucket, of the most
+    frequent `languages` at most (ties: first by code point). Rows with a null key, language or text teach nothing;
+    repeated rows teach as often as they stand. A language that is taught by no letter is not learned; an empty table
+    teaches none.
     """
-    taught = docs.where(F.col(key).isNotNull() & F.col(lang).isNotNull()).select(F.col(key).alias("_key")).distinct()
-    taught = taught.orderBy(F.xxhash64("_key"), "_key").limit(most)
-    rows = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(key).alias("_key"), F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"))
-    rows = rows.join(F.broadcast(taught), "_key").select("lang", "text")
+    rows = docs.where(F.col(key).isNotNull() & F.col(lang).isNotNull()).select(F.xxhash64(F.col(key)).alias("lot"), F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"))
+    counts = rows.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(languages).collect()
+    span = 1 << 30
+    shares = [(r["lang"], min(span, most * span // (len(counts) * r["count"]) + 1)) for r in counts]
+    share = docs.sparkSession.createDataFrame(shares, "lang string, share long")
+    rows = rows.join(F.broadcast(share), "lang").where((F.pmod("lot", F.lit(span)) < F.col("share")) & F.col("text").isNotNull()).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
@@ -200,21 +220,22 @@ def train(docs: DataFrame, key: str = "doc_id", lang: str = "lang", text: str =
             yield pa.RecordBatch.from_arrays([pa.array([name] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(own[at], pa.int64())], names=["lang", "at", "n"])
 
     found = rows.mapInArrow(count, "lang string, at int, n long").groupBy("lang", "at").agg(F.sum("n").alias("n")).toPandas()
-    languages = sorted(found["lang"].unique(), key=lambda x: x.encode())
-    counts = np.zeros((BUCKETS + len(RANGES), len(languages)))
-    counts[found["at"], found["lang"].map({x: i for i, x in enumerate(languages)})] = found["n"]
-    grams, ranges = counts[:BUCKETS], counts[BUCKETS:]
+    learned = sorted(found["lang"].unique(), key=lambda x: x.encode())
+    sums = np.zeros((BUCKETS + len(RANGES), len(learned)))
+    sums[found["at"], found["lang"].map({x: i for i, x in enumerate(learned)})] = found["n"]
+    grams, ranges = sums[:BUCKETS], sums[BUCKETS:]
     grams = np.log((grams + SMOOTH) / (grams.sum(axis=0) + SMOOTH * BUCKETS))
-    grams -= grams.mean(axis=1, keepdims=True) if languages else 0
-    candidate = ranges >= RARE * ranges.sum(axis=0)
-    return Model(languages, grams.astype(np.float32), np.where(candidate, 0, -STRANGE).astype(np.float32))
+    grams -= grams.mean(axis=1, keepdims=True) if learned else 0
+    return Model(learned, grams.astype(np.float32), ranges < RARE * ranges.sum(axis=0))
 
 
 def detect(docs: DataFrame, model: Model, key: str | list[str] | Column = "doc_id", text: str = "text") -> DataFrame:
     """key columns, lang_pred, score and spans (begin, end, lang; places in the text) of every document.
 
     lang_pred is the language of most letters, "und" where there is no letter, text or learned language; score is its
-    share of the letters, 0 for "und". Of equal shares the language first by code point counts.
+    share of the letters, 0 for "und". Of equal shares the language first by code point counts. A text of marks alone
+    has no letter. Texts are scored whole, in chunks, whatever their length; null keys and repeated rows are rows like
+    any other; an empty table gives an empty one.
     """
     keys = [key] if not isinstance(key, list) else key
     kept = docs.select(*keys, F.col(text).cast("string").alias("_text"))

@@ -71,7 +71,7 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page as a WARC record, written to an archive, put together from it again, parsed and checked."""
     archive = warc.write(table(spark, sf_dir, "pages"), Scratch(spark, "op7"))
-    return warc.read(warc.records(archive)).select(
+    return warc.read(warc.records(archive), archive.kind).select(
         F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
 

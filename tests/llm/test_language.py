@@ -36,6 +36,28 @@ def test_languages_and_spans(spark, model):
     assert len(got[8][2]) == 1
 
 
+def test_marks_alone_are_no_letters(spark, model):
+    rows = [(1, "\u0301\u0302"), (2, "12 \u0301 34"), (None, "the e\u0301 and that"), (3, "Das \u0301 ist")]
+    got = {r["doc_id"]: (r["lang_pred"], r["score"], len(r["spans"])) for r in la.detect(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    assert got == {1: ("und", 0.0, 0), 2: ("und", 0.0, 0), None: ("en", 1.0, 1), 3: ("de", 1.0, 1)}
+
+
+def test_ranges_narrow_the_candidates(model):
+    text = "the schön это thö日 日本"
+    _, begin, end, score = la.word_scores(model, [text])
+    words = [text[a:b] for a, b in zip(begin, end)]
+    left = [{x for x, v in zip(model.languages, s) if v > -la.OUT / 2} for s in score]
+    # Latin words cannot be Russian, words with an umlaut not English; what no language writes leaves all
+    assert dict(zip(words, left)) == {"the": {"de", "en"}, "schön": {"de"}, "это": {"ru"}, "thö日": {"de", "en", "ru"}, "日本": {"de", "en", "ru"}}
+
+
+def test_rare_languages_are_learned(spark, docs):
+    rare = spark.createDataFrame([(5000 + i, "ett och det som en på är av", "sv", "x") for i in range(3)], docs.schema)
+    many = spark.range(20_000).selectExpr("10000 + id doc_id", "'the and that with this' text", "'en' lang", "'x' score")
+    assert la.train(docs.union(rare).union(many), most=200).languages == ["de", "en", "ru", "sv"]
+    assert la.train(docs.union(rare).union(many), languages=1).languages == ["en"]
+
+
 def test_search_equals_brute_force():
     rng = np.random.default_rng(1)
     counts = np.array([1, 4, 6, 2])

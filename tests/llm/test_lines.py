@@ -1,7 +1,11 @@
 import random
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
 
 from postalith.llm import lines
-from postalith.llm.common import Scratch
+from postalith.llm.common import Scratch, join_hot, perhaps
 
 BASE = "the quick brown fox jumps over the lazy dog while seven wise owls watch from old oak trees near a silent lake " * 3
 
@@ -13,17 +17,85 @@ def run(spark, rows):
     return {r["doc_id"]: (r["text"], r["removed_lines"]) for r in found.collect()}
 
 
+def distance(a, b, most):
+    """Edit distance of two lists, or more than most."""
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        low, high = max(1, i - most), min(len(b), i + most)
+        new = [most + 1] * (len(b) + 1)
+        new[0] = i
+        for j in range(low, high + 1):
+            new[j] = min(row[j] + 1, new[j - 1] + 1, row[j - 1] + (x != b[j - 1]))
+        row = new
+        if min(row[low - 1 : high + 1]) > most:
+            return most + 1
+    return row[-1]
+
+
+def near_pairs(norms):
+    """Numbers of all pairs of distinct lines at the least similarity, by an exact filter on rare words and edit distance."""
+    words = [x.split(" ") for x in norms]
+    often = Counter(w for x in words for w in set(x))
+    where, found = defaultdict(list), set()
+    for i, x in enumerate(words):
+        # of the words of both in one order, near lines share one of their first few
+        for w in sorted(set(x), key=lambda w: (often[w], w))[: len(x) // 5 + 1]:
+            where[w].append(i)
+    counts = [Counter(x) for x in words]
+    for own in where.values():
+        for n, i in enumerate(own):
+            for j in own[n + 1 :]:
+                a, b = words[i], words[j]
+                most = max(len(a), len(b)) // 5
+                if (i, j) not in found and abs(len(a) - len(b)) <= most and sum((counts[i] & counts[j]).values()) >= max(len(a), len(b)) - most and distance(a, b, most) <= most:
+                    found.add((i, j))
+    return found
+
+
+def roots(pairs, count):
+    up = list(range(count))
+
+    def top(i):
+        while up[i] != i:
+            up[i] = up[up[i]]
+            i = up[i]
+        return i
+
+    for i, j in pairs:
+        up[top(i)] = top(j)
+    return [top(i) for i in range(count)]
+
+
+def test_near_lines_of_the_documents_are_found(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    scratch = Scratch(spark, "t")
+    places, labels = lines.groups(docs, scratch)
+    of = {r["node"]: r["component"] for r in labels.collect()}
+    rows = lines.compared(docs, "doc_id", "text").select("line", "norm").distinct().collect()
+    hashes, norms = [r["line"] for r in rows], [r["norm"] for r in rows]
+    assert len(set(hashes)) == len(hashes) == places.select("line").distinct().count()
+    pairs = near_pairs(norms)
+    for name, some in (("short", [p for p in pairs if len(norms[p[0]].split()) < 25]), ("long", [p for p in pairs if len(norms[p[0]].split()) >= 25])):
+        together = sum(of.get(hashes[i], 0) == of.get(hashes[j], 1) for i, j in some)
+        print(name, together, "of", len(some))
+        assert len(some) > 20 and together >= 0.9 * len(some)
+    # no group holds lines that no chain of near pairs connects
+    root, at = roots(pairs, len(norms)), {h: i for i, h in enumerate(hashes)}
+    assert all(root[at[n]] == root[at[c]] for n, c in of.items())
+
+
 def test_equal_and_near_lines_stay_once(spark):
     near = BASE.replace("quick brown", "brown quick", 1)
     rows = [
-        (1, "Unique opening line of the first document here\n" + BASE + "\nshort line"), (2, BASE.upper().replace(" ", "  ") + "!\nshort line\nanother line that nobody else has at all"),
-        (3, near), (4, "short line\n\nshort line"), (5, None), (6, ""), (7, "some five words in this line\nx\nSome five words, in this LINE."),
+        (1, "Unique opening line of the first document here\n" + BASE + "\nshort line"), (2, BASE.upper().replace(" ", "  ") + "!\nShort line.\nanother line that nobody else has at all"),
+        (3, near), (4, "---\n\n---"), (5, None), (6, ""), (7, "some five words in this line\nx\nSome five words, in this LINE."), (8, "two words\n\n***"),
     ]
     got = run(spark, rows)
     assert got[1] == (rows[0][1], 0)
-    assert got[2] == ("short line\nanother line that nobody else has at all", 1)
+    assert got[2] == ("another line that nobody else has at all", 2)
     assert got[3] == ("", 1)
-    assert got[4] == (rows[3][1], 0) and got[5] == (None, 0) and got[6] == ("", 0)
+    for k in (4, 5, 6, 8):
+        assert got[k] == (rows[k - 1][1], 0)
     assert got[7] == ("some five words in this line\nx", 1)
 
 
@@ -33,24 +105,46 @@ def test_repeated_rows_null_keys_and_empty_tables(spark):
     assert run(spark, []) == {}
 
 
-def test_very_long_lines_go_only_whole(spark):
-    long = " ".join(f"word{i}" for i in range(2 * lines.PIECE + 500))
-    got = run(spark, [(1, long), (2, long), (3, " ".join(f"word{i}" for i in range(2 * lines.PIECE)) + " another end of a long line")])
-    assert got[1] == (long, 0) and got[2] == ("", 1) and got[3][1] == 0
+def test_very_long_lines(spark):
+    words = [f"word{i}" for i in range(9000)]
+    moved = ["new"] + words[:4000] + words[4010:]
+    got = run(spark, [(1, " ".join(words)), (2, " ".join(words)), (3, " ".join(moved)), (4, " ".join(words[:5000]))])
+    assert [got[k][1] for k in (1, 2, 3, 4)] == [0, 1, 1, 0]
+
+
+def test_a_cluster_of_variants_is_one_group(spark):
+    draw = random.Random(3)
+    base = [f"w{draw.randrange(5000)}" for _ in range(60)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 400):  # each near the first, many not near each other
+        copy = list(base)
+        for at in draw.sample(range(60), 8):
+            copy[at] = f"v{draw.randrange(5000)}"
+        rows.append((i, " ".join(copy)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    scratch = Scratch(spark, "t")
+    _, labels = lines.groups(docs, scratch)
+    assert labels.count() >= 396 and labels.select("component").distinct().count() == 1
+    assert spark.read.parquet(scratch.path(f"edges{lines.TURNS}")).count() < 4000
+    got = run(spark, rows)
+    assert sum(n for _, n in got.values()) >= 396 and got[0][1] == 0
 
 
-def test_chains_connect(spark):
-    words = BASE.split()
-    chain = [" ".join(words)]
-    for i in range(1, 6):
-        words = list(words)
-        words[i * 9] = f"changed{i}"
-        chain.append(" ".join(words))
-    docs = spark.createDataFrame(list(enumerate(chain)), "doc_id long, text string")
-    places, groups = lines.groups(docs, Scratch(spark, "t"))
-    assert places.count() == 6
-    # fingerprints near by chance or not, no group may hold lines that no chain of verified pairs connects
-    assert groups.select("node").distinct().count() == groups.count()
+@pytest.mark.parametrize(("x", "y", "want"), [("a b c d e", "a b c d f", True), ("a b c d", "a b c d e", True), ("a b c d e", "a b x y e", False), ("a b c d e f g h i j", "j a b c d e f g h i", True), ("a b c d e f g h i j", "c d e f g h i j a b", False), ("a", "a", True)])
+def test_edit_similarity(spark, x, y, want):
+    row = spark.createDataFrame([(x.split(" "), y.split(" "))], "x array<string>, y array<string>")
+    assert row.select(lines.near(F.col("x"), F.col("y"))).first()[0] == want
+
+
+def test_words_that_share_a_letter_are_told_apart(spark):
+    seen, alike = {}, None
+    for r in spark.range(5000).selectExpr("concat('w', id) w", "xxhash64(concat('w', id)) & 1048575 h").collect():
+        if r["h"] in seen:
+            alike = seen[r["h"]], r["w"]
+        seen[r["h"]] = r["w"]
+    one, two = alike
+    row = spark.createDataFrame([([one, "b", "c", "d", "e"], [two, "b", "c", "d", "x"])], "x array<string>, y array<string>")
+    assert row.select(lines.near(F.col("x"), F.col("y"))).first()[0] is False
 
 
 def _planted(sizes, seed):
@@ -70,20 +164,21 @@ def _planted(sizes, seed):
     return rows
 
 
-def _removed(spark, rows):
+@pytest.mark.parametrize("sizes", [[40, 45, 50, 60, 80, 100, 150, 300, 700] * 20, [5, 6, 8, 10, 12, 15, 19] * 25])
+def test_lines_at_just_the_least_similarity_are_mostly_found(spark, sizes):
+    rows = _planted(sizes, len(sizes))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    return {r["doc_id"] for r in lines.dedup(docs, Scratch(spark, "t")).where("removed_lines = 1").select("doc_id").collect()}
-
-
-def test_every_line_at_the_least_similarity_is_found(spark):
-    rows = [r for r in _planted([40, 45, 50, 60, 80, 100, 150, 300, 700] * 6, 1)]
-    assert all(len(t) >= 120 for _, t in rows)
-    assert _removed(spark, rows) == set(range(1, len(rows), 2))
-
-
-def test_short_near_lines_are_found(spark):
-    rows = [(k, t) for k, t in _planted([5, 6, 8, 10, 12, 15, 19] * 8, 2)]
-    pairs = [(rows[i], rows[i + 1]) for i in range(0, len(rows), 2)]
-    pairs = [(a, b) for a, b in pairs if len(a[1]) >= lines.FEWEST and len(b[1]) >= lines.FEWEST]
-    assert len(pairs) > 40 and any(len(t) < 60 for p in pairs for _, t in p)
-    assert {b[0] for _, b in pairs} <= _removed(spark, [r for p in pairs for r in p])
+    removed = {r["doc_id"] for r in lines.dedup(docs, Scratch(spark, "t")).where("removed_lines = 1").select("doc_id").collect()}
+    assert all(k % 2 for k in removed)
+    assert len(removed) >= 0.8 * len(sizes)  # nine of ten of all near lines, but these are the hardest
+
+
+def test_hot_joins_and_filters_keep_all_rows(spark):
+    left = spark.range(5000).selectExpr("if(id < 3000, 0, id) k", "id v")
+    right = left.groupBy("k").agg(F.count("*").alias("n"), F.min("v").alias("first"))
+    got = join_hot(left, right, "k", "n")
+    assert got.count() == 5000 and got.where("k = 0 and first = 0").count() == 3000
+    some = spark.range(100).selectExpr("id * 7 k")
+    assert perhaps(left, some, ["k"]).join(some, "k").count() == left.join(some, "k").count()
+    assert perhaps(left, some, ["k"]).count() + perhaps(left, some, ["k"], others=True).count() == 5000
+    assert perhaps(left, some.limit(0), ["k"]).count() == 0

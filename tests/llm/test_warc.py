@@ -31,13 +31,23 @@ def test_each_payload_is_stored_once(archive):
 
 
 def test_damage_is_noticed(archive):
-    record = bytes(warc.records(archive).where("key = 7").first()["record"])
+    record = max((bytes(r["record"]) for r in warc.records(archive).collect()), key=len)
     head, http, payload = warc.parse(record)
+    assert head["warc-record-id"].startswith("<urn:x-row:k7:")
     assert head["warc-type"] == "response" and payload == b"x" * 100_000
     with pytest.raises(ValueError):
         warc.parse(record[:-9])
 
 
+def test_keys_come_out_of_the_records(spark):
+    rows = [("a b:c>%\r\né", "u", BIG), ("", "u", BIG), (None, "u", BIG), ("z", "u", "small")]
+    found = warc.write(spark.createDataFrame(rows, "page_id string, url string, html string"), Scratch(spark, "t"))
+    records = warc.records(found)
+    assert records.columns == ["record"]
+    got = {(r["key"], r["record_type"], r["refers_to"]) for r in warc.read(records, found.kind).collect()}
+    assert got == {("", "response", None), ("a b:c>%\r\né", "revisit", ""), (None, "revisit", ""), ("z", "response", None)}
+
+
 def test_empty_table(spark):
     found = warc.write(spark.createDataFrame([], "page_id long, url string, html string"), Scratch(spark, "t"))
     assert warc.read(warc.records(found)).count() == 0
