@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -28,9 +29,30 @@ def normalize_text(c: Column | str) -> Column:
     return F.trim(F.regexp_replace(F.coalesce(_c(c), F.lit("")), SPACE, " "))
 
 
+@cache
+def _folds() -> tuple[str, str, dict[str, str]]:
+    """Lower-case characters of the basic plane whose folded form is another: as many single ones, and longer forms."""
+    single, longer = {}, {}
+    for n in range(0x80, 0x10000):
+        low = chr(n).lower()
+        if len(low) == 1 and low.casefold() != low:
+            (single if len(low.casefold()) == 1 else longer)[low] = low.casefold()
+    return "".join(single), "".join(single.values()), longer
+
+
 def fold(c: Column | str) -> Column:
-    """Case-folded text for keys. Lower-casing upper-cased text would be optimised away, so the sharp s is spelled out."""
-    return F.replace(F.lower(_c(c)), F.lit("ß"), F.lit("ss"))
+    """Case-folded text for keys: lower case, then the few hundred characters whose folded form is another.
+
+    Texts without any of them, by far the most, only meet one pattern.
+    """
+    lower = F.lower(_c(c))
+    these, those, longer = _folds()
+    exact = F.translate(lower, these, those)
+    for one, many in longer.items():
+        exact = F.replace(exact, F.lit(one), F.lit(many))
+    rare = "".join(these) + "".join(x for x in longer if x != "ß")
+    common = F.replace(lower, F.lit("ß"), F.lit("ss"))
+    return F.when(F.rlike(lower, F.lit(f"[{rare}]")), exact).otherwise(common)
 
 
 def normalize_post_code(c: Column | str, pattern: Column | str) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from postalith.functions import text
 from postalith.operators.records import errors, place_key
 from postalith.plans.config import Country
+from postalith.store import held
 
 
 def contiguous(df: DataFrame, keys: list[Column | str], rank: str, names: list[str] | None = None) -> DataFrame:
@@ -30,8 +31,21 @@ def rank_errors(records: DataFrame) -> DataFrame:
     return wrong.unionByName(gaps).unionByName(places)
 
 
+def numbered(raw: DataFrame, row: str = "row", first: int = 2) -> DataFrame:
+    """Rows of one file with their numbers in its order, the header being row 1. Only a count for each partition comes to the driver."""
+    rows = held(raw.withColumn("_at", F.monotonically_increasing_id()))
+    part, offsets = F.shiftright("_at", 33), []
+    for r in rows.groupBy(part.alias("p")).agg(F.count("*").alias("n")).orderBy("p").collect():
+        offsets.append((r["p"], first))
+        first += r["n"]
+    table = F.broadcast(raw.sparkSession.createDataFrame(offsets, "_part long, _first long"))
+    told = rows.withColumn("_part", part).join(table, "_part").withColumn(row, F.col("_first") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)))
+    return told.drop("_part", "_first", "_at")
+
+
 def row_errors(raw: DataFrame, path: str, row: str = "row") -> DataFrame:
-    """(message) "path:row: what" for every fault of every row of text columns."""
+    """(message) "path:row: what" for every fault of every row of text columns; rows without numbers get theirs in file order."""
+    raw = raw if row in raw.columns else numbered(raw, row)
     return raw.select(F.col(row), F.explode(errors(raw)).alias("what")).select(F.format_string(f"{path}:%d: %s", row, "what").alias("message"))
 
 

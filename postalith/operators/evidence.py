@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -17,8 +17,8 @@ def addresses(objects: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     The first object by seq settles the state tag; objects with another one are dropped. The first point counts.
     """
-    first = F.first("state_code").over(Window.partitionBy("code", "city").orderBy("seq"))
-    told = objects.withColumn("_first", first)
+    first = objects.groupBy("code", "city").agg(F.min_by("state_code", "seq").alias("_first"))  # a large city's addresses need no common task
+    told = objects.join(first, ["code", "city"])
     kept = told.where(F.col("state_code") == F.col("_first"))
     point = F.when(F.col("px").isNotNull(), F.struct("px", "py"))
     found = first_by(kept, ["code", "city", "state_code"], F.col("seq"), {"point": point})

@@ -129,6 +129,13 @@ def tag_agrees(rows: DataFrame, key: str, touching: DataFrame, c: Country, sourc
     return told.withColumn("agrees", rule.otherwise(F.coalesce("_touch", F.lit(False)))).drop("_touch")
 
 
+def filled(told: DataFrame, inferred: str) -> DataFrame:
+    """Rows with inferred: whether the empty state of a row that may_infer was filled with this name; '' fills none."""
+    fill = F.lit(inferred != "") & (F.col("state") == "") & F.col("may_infer")
+    told = told.withColumn("inferred", F.coalesce(fill, F.lit(False)))
+    return told.withColumn("state", F.when(F.col("inferred"), F.lit(inferred)).otherwise(F.coalesce("state", F.lit(""))))
+
+
 def extract(objects: DataFrame, c: Country, source: Source | None = None, min_evidence: int = MIN_ADDRESS_EVIDENCE) -> Extraction:
     """Records of a country from map objects (seq, kind, tags, rings, px, py)."""
     if source is not None and source.country != c.code:
@@ -167,10 +174,7 @@ def extract(objects: DataFrame, c: Country, source: Source | None = None, min_ev
     inside = sp.any_covers(pointed, "akey", country).withColumn("_inside", F.lit(True))
     kept = held(agreed.where("agrees").join(inside, "akey", "left").withColumn("inside", F.coalesce("_inside", F.col("px").isNull())))
     located = place(kept.where("inside and px is not null").select("akey", "px", "py"), "akey").select("akey", "state", "county", "may_infer")
-    told = kept.where("inside").join(located, "akey", "left")
-    fill = F.lit(inferred != "") & (F.col("state") == "") & F.col("may_infer")
-    told = told.withColumn("inferred", F.coalesce(fill, F.lit(False)))
-    told = told.withColumn("state", F.when(F.col("inferred"), F.lit(inferred)).otherwise(F.coalesce("state", F.lit("")))).withColumn("county", F.coalesce("county", F.lit("")))
+    told = filled(kept.where("inside").join(located, "akey", "left"), inferred).withColumn("county", F.coalesce("county", F.lit("")))
     evidence = held(told.groupBy("code", "city", "state", "county").agg(F.sum("n").alias("n"), F.bool_or("inferred").alias("inferred")))
 
     # postal areas

@@ -5,19 +5,24 @@ Decisions are made on the driver from one-row tables; record sets stay DataFrame
 
 from __future__ import annotations
 
-import tempfile
+import re
+import shutil
 import time
+import uuid
 from collections.abc import Callable
 from dataclasses import asdict, dataclass, field
 from datetime import UTC, datetime, timedelta
 from pathlib import Path
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, SparkRuntimeException
 from pyspark.sql import DataFrame, SparkSession
 
 from postalith.operators import gates
 from postalith.operators.extract import Extraction, ExtractionError
 from postalith.operators.publish import check_roots, public_folder, replace_together, source_path, write_csv, write_json_atomically, write_public
 from postalith.plans.config import COUNTRIES, FALLBACK_DAYS, Country, Source, countries_of, sources
+from postalith.plans.config import progress as label
 from postalith.sources import post_codes as pc
 from postalith.sources.remote import IntegrityError
 
@@ -81,12 +86,13 @@ def error_class(error: BaseException) -> str:
 
 @dataclass
 class Baseline:
-    """Persisted data of a source that agrees with its metadata."""
+    """Persisted data of a source that agrees with its metadata: of use for deltas, and if its times are sound for more."""
 
     records: DataFrame
     metrics: DataFrame
     row: dict
     fresh_enough: bool
+    provenance_valid: bool = True
 
 
 @dataclass
@@ -118,26 +124,47 @@ def _metrics(row) -> dict:
     return {"records": row["records"], "codes": row["codes"], "states": dict(row["state_counts"])}
 
 
-def load_baseline(spark: SparkSession, source: Source, row: dict | None, path: Path, now: datetime) -> Baseline | None:
-    """A source's persisted file if it and its metadata agree in url, checksum form, counts, states and times; else None."""
+def _sound(read: Callable[[], DataFrame], judge: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame, dict] | None:
+    """Records, their metrics, and the row of a gate that they pass; None if they can't be read or do not pass."""
+    try:
+        records = read().cache()
+        found = judge(records)
+        row = found.first().asDict()
+    except (OSError, ValueError, SparkRuntimeException, AnalysisException, Py4JJavaError):
+        return None  # whatever is wrong with persisted data, it is no baseline
+    return (records, found, row) if row["valid"] else None
+
+
+def load_baseline(spark: SparkSession, source: Source, row: dict | None, path: Path, now: datetime, previous_at: str = "") -> Baseline | None:
+    """A source's persisted file if it passes the source's gate and agrees with its metadata in url, checksum form, counts and states.
+
+    Counts and states that the metadata leaves out agree with any. Times that are wrong leave it a baseline for
+    deltas alone; previous_at, the time of the whole document, stands in for times that are not there.
+    """
     c = COUNTRIES[source.country]
-    if row is None or not path.is_file():
+    if row is None or row["url"] != source.url or not path.is_file() or row["content_length"] <= 0 or not re.fullmatch("[0-9a-f]{32}", row.get("md5") or ""):
+        return None
+    sound = _sound(lambda: pc.read_records(spark, str(path)), lambda records: gates.source_gate(gates.metrics(records, c), c, source))
+    if sound is None:
+        return None
+    records, found, have = sound
+    states = sorted(k for k, n in have["state_counts"].items() if n)
+    if row.get("record_count") not in (None, have["records"]) or row.get("unique_post_code_count") not in (None, have["codes"]) or sorted(row.get("state_codes") or states) != states:
         return None
     try:
-        records = pc.read_records(spark, str(path)).cache()
-        found = gates.metrics(records, c)
-        have = found.first()
-        at = provenance(now, row.get("accepted_at") or "", row.get("verified_at") or "")
-        states = sorted(k for k, n in have["state_counts"].items() if n)
-        agree = (
-            row["url"] == source.url and row["content_length"] > 0 and len(row.get("md5") or "") == 32 and have["records"] == row.get("record_count")
-            and have["codes"] == row.get("unique_post_code_count") and states == sorted(row.get("state_codes") or states)
-        )
-        return Baseline(records, found, row, bool(at) and usable(at, now)) if agree else None
-    except Exception as error:  # whatever is wrong with persisted data, it is no baseline
-        if isinstance(error, (KeyboardInterrupt, SystemExit)):
-            raise
+        at, valid = provenance(now, row.get("accepted_at") or "", row.get("verified_at") or "", previous_at), True
+    except ValueError:
+        at, valid = "", False
+    return Baseline(records, found, row, bool(at) and usable(at, now), valid)
+
+
+def country_baseline(spark: SparkSession, c: Country, public_root: Path) -> DataFrame | None:
+    """Metrics of a country's public records, if they can be read and pass its gate."""
+    path = public_folder(public_root, c) / "post_code.csv"
+    if not path.is_file():
         return None
+    sound = _sound(lambda: pc.read_records(spark, str(path)), lambda records: gates.country_gate(gates.metrics(records, c), c))
+    return sound[1] if sound else None
 
 
 def refresh(
@@ -162,7 +189,7 @@ def refresh(
         raise RefreshError(str(error)) from error
     previous = {r["metadata_key"]: r.asDict() for r in table.collect()}  # one row per configured source
     path = lambda s: source_path(source_root, COUNTRIES[s.country], s.name)
-    baselines = {s.metadata_key: load_baseline(spark, s, previous.get(s.metadata_key), path(s), now) for s in chosen}
+    baselines = {s.metadata_key: load_baseline(spark, s, previous.get(s.metadata_key), path(s), now, previous_at) for s in chosen}
     accepted: dict[str, Accepted] = {}
     results: list[dict] = []
 
@@ -189,7 +216,7 @@ def refresh(
     # every source is looked at before any is read
     seen: dict[str, dict] = {}
     for i, s in enumerate(chosen, 1):
-        progress(f"[{i}/{len(chosen)}] {s.metadata_key}: inventory")
+        progress(f"{label(i, len(chosen), s)}: inventory")
         try:
             seen[s.metadata_key] = inventory(s)
         except (OSError, IntegrityError) as error:
@@ -207,7 +234,7 @@ def refresh(
         now_seen, old, base = seen[s.metadata_key], previous.get(s.metadata_key), baselines[s.metadata_key]
         c = COUNTRIES[s.country]
         start = time.monotonic()
-        if base and old and all((old.get(k) or None) == (now_seen.get(k) or None) for k in keys):
+        if base and base.provenance_valid and old and all((old.get(k) or None) == (now_seen.get(k) or None) for k in keys):
             row = old | {"verified_at": stamp(now), "accepted_at": old.get("accepted_at") or old.get("verified_at") or previous_at}
             accepted[s.metadata_key] = Accepted(s, "unchanged", base.records, row, _metrics(base.metrics.first()))
             continue
@@ -241,11 +268,12 @@ def refresh(
     outputs: dict[str, DataFrame] = {}
     for c in countries_of(chosen):
         whole = {s.metadata_key for s in c.sources} <= {s.metadata_key for s in chosen}
-        old_file = public_folder(public_root, c) / "post_code.csv"
-        old = gates.metrics(pc.read_records(spark, str(old_file)), c) if whole and old_file.is_file() else None
+        old = country_baseline(spark, c, public_root) if whole else None
         warnings: list[str] = []
         records = rebuild(c)
         judged = gates.country_gate(gates.metrics(records, c), c, old).first()
+        if not judged["records"]:
+            fail(f"{c.slug} sources gave no public record")
         if whole and judged["errors"]:
             message = "; ".join(judged["errors"])
             renewed = [a for a in accepted.values() if a.source.country == c.code and a.status == "fresh"]
@@ -266,7 +294,10 @@ def refresh(
     except ValueError as error:
         fail(str(error))
     found = report("success")
-    with tempfile.TemporaryDirectory(dir=metadata_path.parent if metadata_path.parent.exists() else None) as folder:
+    # staged beside the metadata, where the outputs are meant to lie: no other disk, and nothing is left on one machine alone
+    folder = metadata_path.parent / f".staged-{uuid.uuid4().hex}"
+    folder.mkdir(parents=True)
+    try:
         staged: dict[Path, Path] = {}
         for a in accepted.values():
             if a.promote:
@@ -289,6 +320,8 @@ def refresh(
             replace_together(staged)
         except OSError as error:
             fail(f"promotion failed: {error}", "storage")
+    finally:
+        shutil.rmtree(folder, ignore_errors=True)
     return found
 
 

@@ -59,9 +59,14 @@ def pairs(left: DataFrame, right: DataFrame, size: float = CELL) -> DataFrame:
 
 
 def overlapping(left: DataFrame, right: DataFrame, least: float = MIN_OVERLAP) -> DataFrame:
-    """(akey, bkey, ratio) of pairs whose common area is at least this share of the left shape's area."""
+    """(akey, bkey, ratio) of pairs whose common area is at least this share of the left shape's area.
+
+    A left shape without area counts whole (ratio 1) for the shapes that cover its first point.
+    """
     own = F.abs(F.aggregate(F.col("a_edges"), F.lit(0.0), lambda n, e: n + (e["x1"] * e["y2"] - e["x2"] * e["y1"]) / 2))
-    ratio = F.try_divide(g.overlap(F.col("a_edges"), F.col("b_edges")), own)
+    first = F.element_at("a_edges", 1)
+    flat = F.when(g.covers(F.col("b_edges"), first["x1"], first["y1"]), 1.0).otherwise(0.0)
+    ratio = F.when(own > 0, F.try_divide(g.overlap(F.col("a_edges"), F.col("b_edges")), own)).otherwise(flat)
     return pairs(left, right).select("akey", "bkey", ratio.alias("ratio")).where(F.col("ratio") >= least)
 
 

@@ -128,15 +128,14 @@ def point_in_cell(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH b AS (SELECT p_partkey, (37 * p_partkey % 400) / 100.0 AS x, (91 * p_partkey % 400) / 100.0 AS y, 0.25 + p_size / 100.0 AS side FROM part WHERE p_partkey < 300),
+WITH b AS (SELECT p_partkey, (37 * p_partkey % 400) / 100.0 AS x, (91 * p_partkey % 400) / 100.0 AS y, 0.25 + p_size / 100.0 AS side FROM part),
 o AS (SELECT p_partkey, n_nationkey,
   greatest(0, least(x + side, n_nationkey % 5 + 1) - greatest(x, n_nationkey % 5)) * greatest(0, least(y + side, n_nationkey // 5 + 1) - greatest(y, n_nationkey // 5)) / (side * side) AS ratio
   FROM b CROSS JOIN nation)
 SELECT p_partkey, n_nationkey, CAST(floor(ratio * 1000 + 1e-6) AS BIGINT) AS permille FROM o WHERE ratio >= 0.05 - 1e-9""")
 def overlap_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("p_partkey")
-    boxes = t(spark, sf_dir, "part").where("p_partkey < 300")
-    boxes = boxes.select(key.alias("akey"), _square((key * 37 % 400) / 100, (key * 91 % 400) / 100, 0.25 + F.col("p_size") / 100).alias("rings"))
+    boxes = t(spark, sf_dir, "part").select(key.alias("akey"), _square((key * 37 % 400) / 100, (key * 91 % 400) / 100, 0.25 + F.col("p_size") / 100).alias("rings"))
     cells = _nation_cells(spark, sf_dir).select(F.col("seq").alias("bkey"), "rings")
     found = sp.overlapping(boxes, cells, 0.05 - 1e-9)
     return found.select(F.col("akey").alias("p_partkey"), F.col("bkey").alias("n_nationkey"), F.floor(F.col("ratio") * 1000 + 1e-6).cast("long").alias("permille"))
@@ -178,32 +177,6 @@ def fingerprint_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changes(prints(orders.where("o_orderdate < timestamp'1998-01-01'")), prints(orders)).withColumnRenamed("metadata_key", "o_custkey")
 
 
-@query("""
-WITH known AS (SELECT c_mktsegment, n_name, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 7 <> 0 GROUP BY c_mktsegment, n_name),
-best AS (SELECT c_mktsegment, n_name FROM (SELECT *, row_number() OVER (PARTITION BY c_mktsegment ORDER BY n DESC, n_name) AS r FROM known) WHERE r = 1)
-SELECT c_custkey, CASE WHEN c_custkey % 7 = 0 THEN best.n_name ELSE nation.n_name END AS state, c_custkey % 7 = 0 AS inferred
-FROM customer JOIN nation ON c_nationkey = n_nationkey LEFT JOIN best ON best.c_mktsegment = customer.c_mktsegment""")
-def impute_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    told = t(spark, sf_dir, "customer").join(t(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-    told = told.select("c_custkey", "c_mktsegment", F.when(F.col("c_custkey") % 7 != 0, F.col("n_name")).otherwise("").alias("state"))
-    counts = told.where("state <> ''").groupBy("c_mktsegment", "state").agg(F.count("*").alias("n"))
-    order = Window.partitionBy("c_mktsegment").orderBy(F.col("n").desc(), "state")
-    best = counts.withColumn("r", F.row_number().over(order)).where("r = 1").select("c_mktsegment", F.col("state").alias("most"))
-    told = told.join(best, "c_mktsegment", "left")
-    return told.select("c_custkey", F.when(F.col("state") == "", F.col("most")).otherwise(F.col("state")).alias("state"), (F.col("state") == "").alias("inferred"))
-
-
-@query("""
-SELECT n_regionkey, count(*) AS records, count(DISTINCT c_mktsegment) AS segments, count(*) FILTER (c_acctbal < 0) AS negative, list_sort(list(DISTINCT c_mktsegment))[1] AS first_segment
-FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_regionkey""")
-def record_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    told = t(spark, sf_dir, "customer").join(t(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-    return told.groupBy("n_regionkey").agg(
-        F.count("*").alias("records"), F.countDistinct("c_mktsegment").alias("segments"), F.count_if(F.col("c_acctbal") < 0).alias("negative"),
-        F.array_sort(F.collect_set("c_mktsegment"))[0].alias("first_segment"),
-    )
-
-
 @query("""
 WITH y AS (SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS n FROM orders GROUP BY 1)
 SELECT year, n, round((n - lag(n) OVER (ORDER BY year)) / CAST(lag(n) OVER (ORDER BY year) AS DOUBLE), 6) AS change FROM y""")
@@ -236,14 +209,15 @@ def set_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT n_nationkey, seg AS c_mktsegment FROM nation, (SELECT DISTINCT c_mktsegment AS seg FROM customer)
-WHERE NOT EXISTS (SELECT 1 FROM supplier WHERE s_nationkey = n_nationkey AND s_acctbal > 5000)""")
+SELECT n_nationkey, unnest(['csv', 'json', 'xml']) AS kind FROM nation
+EXCEPT SELECT s_nationkey, ['csv', 'json', 'xml'][s_suppkey % 3 + 1] FROM supplier WHERE s_acctbal > 5000""")
 def missing_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rich = t(spark, sf_dir, "supplier").where("s_acctbal > 5000").select(F.col("s_nationkey").alias("n_nationkey"))
-    without = evidence.without(t(spark, sf_dir, "nation"), rich, "n_nationkey").select("n_nationkey")
-    # every nation meets every segment: both are short lists, kept as an array beside the nations
-    segments = t(spark, sf_dir, "customer").agg(F.collect_set("c_mktsegment").alias("s"))
-    return without.join(F.broadcast(segments)).select("n_nationkey", F.explode("s").alias("c_mktsegment"))
+    kinds = F.array(*[F.lit(k) for k in ("csv", "json", "xml")])
+    expected = t(spark, sf_dir, "nation").select("n_nationkey", F.explode(kinds).alias("kind"))
+    expected = expected.select(F.struct("n_nationkey", "kind").alias("pair"))
+    there = t(spark, sf_dir, "supplier").where("s_acctbal > 5000")
+    there = there.select(F.struct(F.col("s_nationkey").alias("n_nationkey"), F.element_at(kinds, (F.col("s_suppkey") % 3 + 1).cast("int")).alias("kind")).alias("pair"))
+    return evidence.without(expected, there, "pair").select("pair.*")
 
 
 @query("SELECT event_id, TIMESTAMP '2024-01-31' - ts <= INTERVAL 21 DAYS AS usable FROM events")
@@ -253,8 +227,8 @@ def age_ttl(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id) AS r FROM events) WHERE r = 1")
 def top1_label(spark: SparkSession, sf_dir: str) -> DataFrame:
-    best = F.min_by(F.struct("event_id", "event_type"), F.struct(-F.col("value"), "event_id"))
-    return t(spark, sf_dir, "events").groupBy("user_id").agg(best.alias("e")).select("user_id", "e.event_id", "e.event_type")
+    order = F.struct(-F.col("value"), "event_id")
+    return evidence.first_by(t(spark, sf_dir, "events"), ["user_id"], order, {"event_id": F.col("event_id"), "event_type": F.col("event_type")}).drop("n")
 
 
 @query("""
@@ -303,10 +277,15 @@ def artifact_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.select("page_id", F.sha2("content", 256).alias("sha256"), F.length("content").cast("long").alias("bytes"), line_count().alias("lines"))
 
 
-@query("SELECT o_orderstatus AS status, count(*) AS n, round(sum(CAST(o_totalprice AS DECIMAL(18, 2))), 2)::DOUBLE AS total FROM orders GROUP BY o_orderstatus")
+@query("SELECT CASE n_regionkey % 3 WHEN 0 THEN 'fresh' WHEN 1 THEN 'unchanged' ELSE 'failed' END AS name, count(*) AS n FROM nation GROUP BY 1 UNION ALL SELECT 'records', sum(n_nationkey)::BIGINT FROM nation")
 def status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    total = F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double")
-    return t(spark, sf_dir, "orders").groupBy(F.col("o_orderstatus").alias("status")).agg(F.count("*").alias("n"), total.alias("total"))
+    from postalith.operators.refresh import summary
+
+    region = F.col("n_regionkey") % 3
+    status = F.when(region == 0, "fresh").when(region == 1, "unchanged").otherwise("failed")
+    told = t(spark, sf_dir, "nation").select(status.alias("status"), F.col("n_nationkey").alias("records")).collect()  # a run has a few dozen sources
+    report = {"sources": [{"status": r["status"]} for r in told], "countries": [{"records": r["records"]} for r in told]}
+    return spark.createDataFrame(list(summary(report).items()), "name string, n long")
 
 
 @query("""
@@ -315,3 +294,6 @@ SELECT n_nationkey, CAST(1 AS DOUBLE) AS area, n_nationkey % 5 + 0.5::DOUBLE AS
 def shape_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     shapes = g.with_inner_point(_nation_cells(spark, sf_dir))
     return shapes.select(F.col("seq").alias("n_nationkey"), g.area(F.col("rings")).alias("area"), F.col("p.x").alias("px"), F.col("p.y").alias("py"))
+
+
+import postalith.plans.engine  # noqa: E402, F401  (registers more)

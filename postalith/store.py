@@ -41,12 +41,15 @@ atexit.register(_clear)
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share, named by spark.checkpoint.dir.
 
-    Where the setting is absent (as in tests on one machine) a temporary folder stands in for it.
+    Where the setting is absent a temporary folder stands in for it, but only on one machine: a cluster's executors
+    would not see it, so there its absence raises.
     """
     ship(spark)
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     global _own
     if _own is None:
         _own = tempfile.mkdtemp(prefix="postalith-")

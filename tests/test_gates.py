@@ -86,3 +86,14 @@ def test_configuration():
     with pytest.raises(ValueError):
         country("fr")
     assert RECORD.fieldNames() == list(FIELDS)
+
+
+def test_rows_of_a_file_are_numbered(spark, tmp_path):
+    from postalith.plans.schema import FIELDS
+    from postalith.sources.post_codes import read_text
+
+    good = "04600,Altenburg,DE,Thüringen,,W. Europe Standard Time,true,1,1,postal_boundary,0"
+    lines = [",".join(FIELDS), *[good] * 500, good.replace("04600", "x"), *[good] * 500, good.replace("true", "no")]
+    (tmp_path / "f.csv").write_text("\n".join(lines) + "\n")
+    found = contracts.row_errors(read_text(spark, str(tmp_path / "f.csv")), "f.csv")
+    assert sorted(r["message"] for r in found.collect()) == ["f.csv:1003: is_primary_location is not a boolean", "f.csv:502: invalid code"]

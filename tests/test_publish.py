@@ -47,16 +47,23 @@ def test_files_change_together_or_not_at_all(tmp_path):
     a.write_text("2"), b.write_text("3")
 
     def fail(origin, target):
-        if origin == b:
+        if target == new:
             raise OSError("disk")
         os.replace(origin, target)
 
     with pytest.raises(OSError):
         publish.replace_together({a: old, b: new}, fail)
+    assert old.read_text() == "1" and not new.exists() and a.exists()
+    with pytest.raises(OSError):
+        publish.replace_together({a: old, tmp_path / "nowhere": new})
     assert old.read_text() == "1" and not new.exists()
-    a.write_text("2")
-    publish.replace_together({a: old, b: new})
+    # a killed run: the old file is aside, the new one has not come in
+    os.replace(old, tmp_path / "old.old~")
+    (tmp_path / "old.new~").write_text("half")
+    publish.replace_together({b: new})
+    publish.replace_together({a: old})
     assert (old.read_text(), new.read_text()) == ("2", "3")
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["new", "old"]
     with pytest.raises(ValueError):
         publish.replace_together({a: old, b: old})
     with pytest.raises(ValueError):
@@ -68,7 +75,23 @@ def test_package_has_digests(records, tmp_path):
         publish.write_public(records, publish.public_folder(tmp_path / "in", c), c.name)
     manifest = publish.package(tmp_path / "in", None, tmp_path / "out", "/api/v1", "2024-01-01T00:00:00Z")
     assert len(manifest["files"]) == 9 and {f["records"] for f in manifest["files"]} == {2} and manifest["data_refreshed_at"] is None
-    assert (tmp_path / "out/api/v1/de/post_code.csv.gz").exists()
+    assert (tmp_path / "out/api/v1/de/post_code.csv.gz").exists() and (tmp_path / "out/api/v1/index.json").exists()
+    out = tmp_path / "out"
+    assert publish.package_errors(out, "/api/v1") == []
+    file = out / "api/v1/de/post_code.csv"
+    file.write_bytes(file.read_bytes() + b"x\n")
+    (out / "api/v1/at/post_code.xml.gz").write_bytes(b"no")
+    manifest["files"] = [*manifest["files"][:-1], manifest["files"][0], {"path": "extra"}, {}]
+    publish.write_json_atomically(manifest | {"version": "v2"}, out / "api/v1/index.json")
+    said = publish.package_errors(out, "/api/v1")
+    assert {"version is not 'v1'", "an entry has no path", "de/post_code.csv: two entries", "extra: not expected", "de/post_code.csv: sha256 differs", "de/post_code.csv: lines differs", "de/post_code.csv: the compressed file holds something else"} <= set(said)
+    assert any(x.startswith("ch/post_code.xml: missing") for x in said) and any(x.startswith("at/post_code.xml: ") for x in said)
+    assert publish.package_errors(tmp_path / "none", "/api/v1")[0].startswith("manifest: ")
+
+
+def test_the_csv_sink_merges_and_ranks(spark, records, tmp_path):
+    assert publish.write_csv(records.unionByName(records).withColumn("location_rank", F.lit(9)), tmp_path / "x.csv") == 2
+    assert ",1,1,postal_boundary,0" in (tmp_path / "x.csv").read_text("utf-8")
 
 
 def test_metadata_documents(spark, tmp_path):
@@ -102,7 +125,12 @@ def test_workbook(spark, records, tmp_path):
     template(tmp_path / "t.xlsx")
     assert erp.write_workbook(exported, tmp_path / "t.xlsx", tmp_path / "o.xlsx") == 3
     with zipfile.ZipFile(tmp_path / "o.xlsx") as z:
-        assert b"A3:F6" in z.read(erp.TABLE) and b"DRESDEN" in z.read(erp.SHEET) and z.read("other.xml") == b"<x/>"
+        table, sheet = ET.fromstring(z.read(erp.TABLE)), ET.fromstring(z.read(erp.SHEET))
+        assert table.get("ref") == "A3:F6" and table[0].get("ref") == "A3:F6" and z.read("other.xml") == b"<x/>"
+        cells = [[(c.get("r"), "".join(c.itertext())) for c in row] for row in sheet[0]]
+        assert [r[0][0] for r in cells] == ["A1", "A3", "A4", "A5", "A6"] and cells[2][1] == ("B4", "Dresden & <co>") and cells[4][0] == ("A6", "09999")
+    assert erp.write_workbook(exported.limit(0), tmp_path / "t.xlsx", tmp_path / "e.xlsx") == 0
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["e.xlsx", "o.xlsx", "t.xlsx"]
     assert "Exported primary rows: 3" in erp.guardrails(records, exported, "o.xlsx")
     with pytest.raises(ValueError, match="duplicate"):
         erp.write_workbook(exported.union(exported), tmp_path / "t.xlsx", tmp_path / "p.xlsx")

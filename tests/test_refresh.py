@@ -77,6 +77,48 @@ def test_a_shrunken_or_stale_source_fails(world):
     assert (world.root / "pub/de/post_code.csv").read_text() == before
 
 
+def test_what_makes_a_baseline(spark, world):
+    world.run()
+    path = world.root / "src/de/post_code/bremen.csv"
+    row = json.loads((world.root / "meta/m.json").read_text())["regions"]["bremen"]
+    load = lambda change, at="": rf.load_baseline(spark, BREMEN, row | change, path, NOW, at)
+    sound = load({})
+    assert sound.fresh_enough and sound.provenance_valid and sound.metrics.first()["records"] == 40
+    assert load({"record_count": None, "unique_post_code_count": None, "state_codes": []}).fresh_enough
+    for wrong in ({"url": "x"}, {"content_length": 0}, {"md5": "A" * 32}, {"md5": "a" * 31}, {"record_count": 41}, {"unique_post_code_count": 1}, {"state_codes": ["DE-HH"]}):
+        assert load(wrong) is None
+    # times that are not sound leave a baseline for deltas alone; the document's own time stands in for missing ones
+    for change, at, fresh, valid in (({"accepted_at": "2025-01-01T00:00:00Z"}, "", False, False), ({"accepted_at": "", "verified_at": ""}, "", False, True),
+                                     ({"accepted_at": "", "verified_at": ""}, "2024-05-30T00:00:00Z", True, True), ({"accepted_at": "", "verified_at": ""}, "bad", False, False)):
+        found = load(change, at)
+        assert (found.fresh_enough, found.provenance_valid) == (fresh, valid)
+    text = path.read_text()
+    for broken in (text.replace("Bremen", "Hamburg"), text.replace("true", "perhaps", 1), "a,b\n1,2\n"):
+        path.write_text(broken)
+        assert load({}) is None
+
+
+def test_a_public_file_that_is_not_sound_is_no_baseline(spark, world):
+    from postalith.plans.config import COUNTRIES
+
+    folder = world.root / "pub/de"
+    folder.mkdir(parents=True)
+    assert rf.country_baseline(spark, COUNTRIES["DE"], world.root / "pub") is None
+    for content in ("a,b\n1,2\n", ""):
+        (folder / "post_code.csv").write_text(content)
+        assert rf.country_baseline(spark, COUNTRIES["DE"], world.root / "pub") is None
+    assert statuses(world.run()) == ["fresh", "fresh"]
+    assert rf.country_baseline(spark, COUNTRIES["DE"], world.root / "pub") is None  # 80 records are below the floor
+
+
+def test_progress_and_empty_sources(spark, world):
+    said = []
+    rf.refresh(spark, chosen=[BREMEN], now=NOW, metadata_path=world.root / "meta/m.json", source_root=world.root / "src", public_root=world.root / "pub", report_path=world.root / "r.json",
+               inventory=world.inventory, extract=world.extract, progress=said.append)
+    assert said == ["[1/1] de/bremen: inventory"]
+    assert not [p for p in (world.root / "meta").iterdir() if p.name.startswith(".staged")]
+
+
 def test_inventory_comes_before_any_extraction(world):
     world.offline = {"hamburg"}
     with pytest.raises(rf.RefreshError, match="inventory"):
