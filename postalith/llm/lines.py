@@ -1,12 +1,12 @@
 """Fuzzy line dedup in DataFrame operations alone.
 
 Lines are normalised and equal ones become one. Two of n and m words are near if their edit distance over words is at
-most a fifth of the longer. Every line gets a SimHash of its words and six blocks; lines that share a block meet,
+most a fifth of the longer. Every line gets a SimHash of its words and five blocks; lines that share a block meet,
 SimHashes and sketches that are too far apart rule pairs out, the edit distance decides, and one occurrence of each
 connected group stays.
 
-A block is the least of the hashed word triples of a line (pairs in short lines) under one of six hash functions, so
-by the pigeonhole principle near lines are missed only if all six least ones lie on changed words. Cutting the SimHash
+A block is the least of the hashed runs of four words of a line (two in short lines) under one of five hash functions,
+so by the pigeonhole principle near lines are missed only if all five least ones lie on changed words. Cutting the SimHash
 itself into blocks does not reach this similarity: a fifth of the words changed moves a fifth of its bits, so blocks
 that stay whole are too short to tell lines apart.
 
@@ -25,15 +25,18 @@ from postalith.llm.common import PART, Scratch, components, extended, join_hot,
 #: Least similarity: 1 - distance / words of the longer.
 SIMILAR = 0.8
 #: Blocks of a line.
-BLOCKS = 6
-#: Lines of up to SHORT words have blocks of word pairs, lines of LONG or more blocks of triples: near lines always share a kind.
+BLOCKS = 5
+#: Lines of up to SHORT words have blocks of word pairs, lines of LONG or more blocks of four words: near lines always share a kind.
 SHORT, LONG = 14, 12
-#: A pair or triple is likelier to be a block the longer, hence rarer, its words: its odds double with every EACH letters, DOUBLED times at most.
+#: Words are likelier to be a block the longer, hence rarer, they are: their odds double with every EACH letters, DOUBLED times at most.
 EACH, DOUBLED = 4, 6
-#: Bits by which SimHashes of near lines may differ: 13 expected where a fifth of the words changed, and 3.4 deviations.
-BITS = 24
+#: Bits of 63 by which SimHashes of near lines may differ: 13 expected where a fifth of the words changed, and 3.4 deviations.
+#: A line of MOST words or more overflows their counts: its SimHash rules nothing out.
+BITS, MOST = 24, 1 << 21
+#: Columns of a sketch.
+SKETCH = tuple(f"x{i}" for i in range(8))
 #: Rounds after the first: in all but the last, lines meet one that no leader has reached yet.
-TURNS = 3
+TURNS = 2
 #: Parts that the pairs of a line with very many are cut in.
 SALTS = 64
 
@@ -54,58 +57,55 @@ def _shift(name: str, value: Column, by: Column | int) -> Column:
     return F.call_function(name, value, F.lit(by) if isinstance(by, int) else by)
 
 
-def _explode(texts: DataFrame, *keep: str) -> DataFrame:
-    """A row for every word of lines of four words or more, with the words after it: keep, n (words), hashes a, b, c and lengths x, y, z.
-
-    A line of three words or fewer has no near lines but equal ones.
-    """
-    split = texts.select(*keep, F.split("norm", " ").alias("w")).select(*keep, F.size("w").alias("n"), "w").where("n >= 4")
-    rows = split.select(*keep, "n", "w", F.posexplode("w").alias("i", "u"))
-    rows = rows.select(*keep, "n", "u", F.get("w", F.col("i") + 1).alias("v"), F.get("w", F.col("i") + 2).alias("t"))
-    code = lambda w: F.when(F.col(w).isNotNull(), F.xxhash64(w))
-    size = lambda w: F.coalesce(F.length(w), F.lit(0))
-    return rows.select(*keep, "n", *(code(w).alias(c) for w, c in zip("uvt", "abc")), *(size(w).alias(c) for w, c in zip("uvt", "xyz")))
+def _words(norm: str) -> Column:
+    """A number for each word: its hash, with its length (63 at most) in the last six bits."""
+    code = lambda w: F.xxhash64(w).bitwiseAND(F.lit(-64)).bitwiseOR(F.least(F.length(w), F.lit(63)).cast("long"))
+    return F.transform(F.split(norm, " "), code)
 
 
 def keyed(rows: DataFrame) -> DataFrame:
-    """line and its blocks, for every line of rows (line, norm): one row, but two for lines that are neither short nor long."""
-    kinds = F.when(F.col("n") < LONG, F.array(F.lit(2))).when(F.col("n") > SHORT, F.array(F.lit(3))).otherwise(F.array(F.lit(2), F.lit(3)))
-    sized = rows.select("line", "norm", F.size(F.split("norm", " ")).alias("n")).select("line", "norm", F.explode(kinds).alias("kind"))
-    words = _explode(sized, "line", "kind")
-    third = F.col("kind") == 3
-    words = words.select("line", "kind", "a", "b", F.when(third, F.col("c")).alias("c"), (F.col("x") + F.col("y") + F.when(third, F.col("z")).otherwise(0)).alias("letters"))
-    doubled = F.least(_shift("shiftrightunsigned", F.col("letters"), EACH.bit_length() - 1), F.lit(DOUBLED)) + 1
-    words = words.select("line", "kind", "a", "b", "c", doubled.cast("int").alias("doubled"))
-    least = [F.min(_shift("shiftrightunsigned", F.xxhash64(F.lit(i), "a", "b", "c"), F.col("doubled"))).alias(f"m{i}") for i in range(BLOCKS)]
+    """line and its blocks, for every line of rows (line, norm): one row, but two for lines that are neither short nor long.
+
+    A line of three words or fewer has no near lines but equal ones, and no blocks.
+    """
+    kinds = F.when(F.col("n") < LONG, F.array(F.lit(2))).when(F.col("n") > SHORT, F.array(F.lit(4))).otherwise(F.array(F.lit(2), F.lit(4)))
+    sized = rows.select("line", _words("norm").alias("w")).select("line", "w", F.size("w").alias("n")).where("n >= 4")
+    at = sized.select("line", "w", F.explode(kinds).alias("kind")).select("line", "kind", "w", F.posexplode("w").alias("i", "a"))
+    after = lambda by: F.get("w", F.col("i") + by)
+    long = F.col("kind") == 4
+    words = at.select("line", "kind", "a", after(1).alias("b"), F.when(long, after(2)).alias("c"), F.when(long, after(3)).alias("d"))
+    letters = sum((F.coalesce(F.col(c).bitwiseAND(F.lit(63)), F.lit(0).cast("long")) for c in "bcd"), F.col("a").bitwiseAND(F.lit(63)))
+    doubled = F.least(_shift("shiftrightunsigned", letters, EACH.bit_length() - 1), F.lit(DOUBLED).cast("long")) + 1
+    words = words.select("line", "kind", F.xxhash64(*"abcd").alias("h"), doubled.cast("int").alias("doubled"))
+    least = [F.min(_shift("shiftrightunsigned", F.xxhash64(F.lit(i), "h"), F.col("doubled"))).alias(f"m{i}") for i in range(BLOCKS)]
     found = words.groupBy("line", "kind").agg(*least)
     return found.select("line", F.array(*[F.xxhash64(F.lit(i), "kind", f"m{i}") for i in range(BLOCKS)]).alias("blocks"))
 
 
-def _simhash(sums: list[str], n: str) -> Column:
-    """The fingerprint: each sum counts two bits of the words' hashes, 32 bits apart; a bit is set if most words have it."""
+def _simhash(n: str) -> Column:
+    """The fingerprint: each of 21 sums counts three bits of the words' hashes, in lanes 21 bits apart; a bit is set if most words have it."""
     out = None
-    for i, s in enumerate(sums):
-        low, high = F.col(s).bitwiseAND(F.lit((1 << 32) - 1)), F.shiftrightunsigned(F.col(s), 32)
-        for x, at in ((low, i), (high, i + 32)):
-            bit = F.when(x * 2 > F.col(n), F.lit(1 << at if at < 63 else -(1 << 63))).otherwise(F.lit(0)).cast("long")
+    for i in range(21):
+        for lane in range(3):
+            count = F.shiftrightunsigned(F.col(f"s{i}"), 21 * lane).bitwiseAND(F.lit(MOST - 1))
+            bit = F.when(count * 2 > F.col(n), F.lit(1 << (i + 21 * lane))).otherwise(F.lit(0)).cast("long")
             out = bit if out is None else out.bitwiseOR(bit)
     return out
 
 
 def prints(texts: DataFrame) -> DataFrame:
-    """For every line (line, norm) of four words or more: line, n (words), simhash and two sketches.
+    """For every line (line, norm) of four words or more: line, n (words), simhash and sketches.
 
-    Each word flips one bit of a sketch: an edit flips two of the 128 bits at most.
+    Each word flips one bit of the sketches: an edit flips two of their 512 bits at most.
     """
-    words = _explode(texts, "line")
-    lanes = F.lit((1 << 32) + 1)
-    sums = [F.sum(_shift("shiftrightunsigned", F.col("a"), i).bitwiseAND(lanes)).alias(f"s{i}") for i in range(32)]
-    h = F.xxhash64(F.lit(7), "a")
-    bit = _shift("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int"))
-    odd = h.bitwiseAND(F.lit(64)) != 0
-    halves = [F.bit_xor(F.when(x, bit).otherwise(F.lit(0).cast("long"))).alias(c) for x, c in ((odd, "odd"), (~odd, "even"))]
-    found = words.groupBy("line", "n").agg(*sums, *halves)
-    return found.select("line", "n", _simhash([f"s{i}" for i in range(32)], "n").alias("simhash"), "odd", "even")
+    split = texts.select("line", _words("norm").alias("w")).select("line", F.size("w").alias("n"), "w").where("n >= 4")
+    words = split.select("line", "n", F.explode("w").alias("a")).select("line", "n", F.xxhash64(F.lit(7), "a").alias("h"), F.shiftrightunsigned("a", 8).bitwiseAND(F.lit(511)).alias("at"))
+    bit = _shift("shiftleft", F.lit(1).cast("long"), F.col("at").bitwiseAND(F.lit(63)).cast("int"))
+    words = words.select("line", "n", "h", F.shiftrightunsigned("at", 6).alias("of"), bit.alias("bit"))
+    lanes = F.lit(sum(1 << 21 * lane for lane in range(3)))
+    sums = [F.sum(F.shiftrightunsigned("h", i).bitwiseAND(lanes)).alias(f"s{i}") for i in range(21)]
+    odd = [F.bit_xor(F.when(F.col("of") == i, F.col("bit")).otherwise(F.lit(0).cast("long"))).alias(f"x{i}") for i in range(8)]
+    return words.groupBy("line", "n").agg(*sums, *odd).select("line", "n", _simhash("n").alias("simhash"), *SKETCH)
 
 
 def _met(one: str, two: str) -> Column:
@@ -113,7 +113,8 @@ def _met(one: str, two: str) -> Column:
     n, m = F.col(f"{one}.n"), F.col(f"{two}.n")
     alike = F.ceil(F.greatest(n, m) * SIMILAR - 1e-9)
     apart = lambda c: F.bit_count(F.col(f"{one}.{c}").bitwiseXOR(F.col(f"{two}.{c}")))
-    return (F.least(n, m) >= alike) & (apart("odd") + apart("even") <= n + m - 2 * alike) & (apart("simhash") <= BITS)
+    flipped = sum((apart(c) for c in SKETCH[1:]), apart(SKETCH[0]))
+    return (F.least(n, m) >= alike) & (flipped <= n + m - 2 * alike) & ((F.greatest(n, m) >= MOST) | (apart("simhash") <= BITS))
 
 
 def _letters(places: Column) -> Column:
@@ -137,7 +138,9 @@ def near(x: Column, y: Column) -> Column:
     once = F.array(F.struct(x.alias("x"), y.alias("y"), names.alias("names"), apart.alias("apart"), most.alias("most")))
     sure = F.transform(once, lambda s: s["apart"] | within(placed(s["x"], s["names"]), placed(s["y"], s["names"]), s["most"]))[0]
     few = (F.size(F.array_except(x, y)) <= most) & (F.size(F.array_except(y, x)) <= most)
-    return F.when(few & within(hashed(x), hashed(y), most), sure).otherwise(F.lit(False))
+    # words that differ place by place are a bound on the distance
+    replaced = (F.size(x) == F.size(y)) & (F.size(F.filter(F.zip_with(x, y, lambda u, v: u != v), lambda differs: differs)) <= most)
+    return replaced | F.when(few & within(hashed(x), hashed(y), most), sure).otherwise(F.lit(False))
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -170,7 +173,7 @@ def groups(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "
     # bucketed by line: neither the words' aggregation nor the joins of pairs with their texts move the texts again
     texts = scratch.bucketed(some, "texts", "line", "zstd")
     found = scratch.keep(prints(texts), "prints")
-    print_ = F.struct("line", "n", "simhash", "odd", "even")
+    print_ = F.struct("line", "n", "simhash", *SKETCH)
 
     def verified(pairs: DataFrame, turn: int) -> DataFrame:
         """The pairs (a, b) that are near; prints rule most of the others out."""
@@ -203,7 +206,7 @@ def groups(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "
     return rows.drop("norm"), labels
 
 
-def dedup(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "text") -> DataFrame:
+def dedup(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "text", removed: str = "removed_lines") -> DataFrame:
     """The documents with one occurrence of every line: text without the others, and removed_lines, their number.
 
     Of a group of equal or near lines the occurrence in the smallest key (null first), and there the first, stays.
@@ -211,7 +214,7 @@ def dedup(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "t
     loses all is empty. Lines of fewer than five words have no near lines but equal ones and one of five words from
     which a word is gone. Rows that repeat key and text count as one row and keep the same lines. A very long line is
     a line like any other; the time of a comparison grows with the square of its words. An empty table gives an empty
-    one. All columns stay; an earlier removed_lines is replaced.
+    one. All columns stay; an earlier one named as removed says is replaced.
     """
     places, labels = groups(docs, scratch, key, text)
     here = F.struct("key", "mark", "at")
@@ -225,7 +228,7 @@ def dedup(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "t
     gone = gone.groupBy(F.col("key").alias("_key"), F.col("mark").alias("_mark")).agg(F.collect_set("at").alias("_gone"))
     gone = scratch.keep(gone, "gone")
     scratch.drop("rows", "lines", "several", "lowest", "told")
-    docs = docs.drop("removed_lines")
+    docs = docs.drop(removed)
     mark = F.xxhash64(text)
     same = F.col(key).eqNullSafe(F.col("_key")) & (mark == F.col("_mark"))
     marks = gone.select(F.col("_mark").alias("_own"))
@@ -236,5 +239,5 @@ def dedup(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "t
     columns = [kept.alias(c) if c == text else F.col(c) for c in docs.columns]
     changed = perhaps(docs.withColumn("_own", mark), marks, ["_own"]).drop("_own").join(gone, same, "left")
     others = perhaps(docs.withColumn("_own", mark), marks, ["_own"], others=True).drop("_own")
-    changed = changed.select(*columns, F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("removed_lines"))
-    return changed.unionByName(others.withColumn("removed_lines", F.lit(0).cast("long")))
+    changed = changed.select(*columns, F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias(removed))
+    return changed.unionByName(others.withColumn(removed, F.lit(0).cast("long")))

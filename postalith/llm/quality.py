@@ -188,23 +188,25 @@ def _featured(docs: DataFrame, text: str) -> DataFrame:
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "quality", text: str = "text", most: int = LABELLED) -> Model:
     """Fit on at most `most` labelled rows, chosen by the hash of their key; only their features come to the driver.
 
-    Rows without key or label, and keys with contradicting labels, teach nothing; a key counts once.
+    Rows without key or label, and keys with contradicting labels, teach nothing; a key counts once, by the least of
+    its texts' features. Empty tables teach nothing: every score is then 0.5.
     """
     told = labels.where(F.col(key).isNotNull() & F.col(label).isin(0, 1)).groupBy(key).agg(F.min(label).alias("_y"), F.max(label).alias("_z"))
     told = told.where("_y = _z").select(F.col(key).alias("_key"), "_y").orderBy(F.xxhash64("_key"), "_key").limit(most)
     rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("_t")).join(F.broadcast(told), "_key")
-    taught = _featured(rows, "_t").groupBy("_key").agg(F.first("x").alias("x"), F.first("_y").alias("_y")).orderBy("_key").toPandas()
+    taught = _featured(rows, "_t").groupBy("_key").agg(F.min("x").alias("x"), F.min("_y").alias("_y")).orderBy("_key").toPandas()
     return fit(np.array(taught["x"].tolist()).reshape(-1, len(FEATURES)), taught["_y"].to_numpy(dtype=float))
 
 
-def score(docs: DataFrame, model: Model, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """All columns of the documents with score (0 to 1) and predicted (1 from the threshold on).
+def score(docs: DataFrame, model: Model, text: str = "text", threshold: float = THRESHOLD, names: tuple[str, str] = ("score", "predicted")) -> DataFrame:
+    """All columns of the documents with score (0 to 1) and predicted (1 from the threshold on), under the names given.
 
-    Null and empty texts have scores like any other. Columns score and predicted of the input are replaced.
+    Null and empty texts have scores like any other; very long texts are scored whole; rows alike score alike. Columns
+    of the input that have these names are replaced. An empty table gives an empty one.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    kept = docs.drop("score", "predicted")
-    schema = T.StructType([*kept.schema, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
+    kept = docs.drop(*names)
+    schema = T.StructType([*kept.schema, T.StructField(names[0], T.DoubleType()), T.StructField(names[1], T.IntegerType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
