@@ -61,18 +61,6 @@ def _power(samples: np.ndarray, first: int, last: int) -> np.ndarray:
     return spectrum.real**2 + spectrum.imag**2
 
 
-def _largest(x: np.ndarray, before: int, after: int, axis: int) -> np.ndarray:
-    """For each entry the maximum of what lies from -before to +after (0: the entry itself counts) along the axis."""
-    out = np.full_like(x, -1)
-    n = x.shape[axis]
-    for d in range(-before, after + 1):
-        if abs(d) < n:
-            to, of = [slice(None)] * 2, [slice(None)] * 2
-            to[axis], of[axis] = slice(max(0, -d), n - max(0, d)), slice(max(0, d), n - max(0, -d))
-            np.maximum(out[tuple(to)], x[tuple(of)], out=out[tuple(to)])
-    return out
-
-
 def _doubling(x: np.ndarray, reach: int, axis: int) -> np.ndarray:
     """Maximum over -reach..+reach along the axis, by windows of doubled width."""
     x = np.moveaxis(x, axis, 0)
@@ -126,7 +114,8 @@ def landmarks(payload: bytes) -> tuple[np.ndarray, np.ndarray]:
 def encode(docs: DataFrame, text: str = "text", rate: int = RATE) -> DataFrame:
     """Add n_bytes and media: the text's UTF-8 bytes, filled up with bytes 0 to a positive multiple of 64, as WAV.
 
-    Null is the empty text, and gives 64 samples of 0. All columns stay, but for earlier ones of these two names.
+    Null is the empty text, and gives 64 samples of 0. Texts are stored whole, whatever their length; rows alike give
+    alike recordings; an empty table gives an empty one. All columns stay, but for earlier ones of these two names.
     """
     kept = docs.drop("n_bytes", "media", "_utf8")
     raw = F.encode(F.coalesce(F.col(text).cast("string"), F.lit("")), "UTF-8")

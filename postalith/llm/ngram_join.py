@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postalith.llm.common import Scratch, components
+from postalith.llm.common import Scratch, components, extended
 
 #: Words in a shingle; least similarity in hundredths.
 WORDS, LEAST = 5, 80
@@ -323,8 +323,7 @@ def connect(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str =
     weight = groups.groupBy("cls").agg(F.sum("n").alias("weight"))
     members = groups.select("signature", "cls").join(weight, "cls").withColumn("component", F.col("cls"))
     pairs = scratch.keep(_possible(_led(members, F.struct("weight", "cls")), classes), "pairs0")
-    edges = [verified(pairs, "edges0")]
-    labels = components(edges[0], scratch, "labels0")
+    labels = components(verified(pairs, "edges0"), scratch, "labels0")
     for turn in range(1, TURNS + 1):
         named = groups.select("signature", "cls").join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
         mixed = scratch.keep(_mixed(named), f"mixed{turn}")
@@ -337,13 +336,9 @@ def connect(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str =
             near = near & (_apart("sketch1", "sketch2", SKETCH) * (100 + LEAST) <= (F.col("size1") + F.col("size2")) * (100 - LEAST))
             pairs = one.join(two, "signature").where((F.col("component1") < F.col("component2")) & near).select(F.col("cls1").alias("a"), F.col("cls2").alias("b")).distinct()
         pairs = scratch.keep(_possible(scratch.keep(pairs, f"met{turn}"), classes), f"pairs{turn}")
-        edges.append(verified(pairs, f"edges{turn}"))
+        edges = verified(pairs, f"edges{turn}")
         scratch.drop(f"mixed{turn}")
-        if edges[-1].limit(1).count():
-            every = edges[0]
-            for more in edges[1:]:
-                every = every.unionByName(more)
-            labels = components(every, scratch, f"labels{turn}")
+        labels = extended(labels, edges, scratch, f"labels{turn}")
     scratch.drop("groups")
 
     of = classes.join(labels.withColumnRenamed("node", "cls"), "cls", "left").select("cls", "first", F.coalesce("component", "cls").alias("component"))

@@ -59,18 +59,31 @@ def test_estimates_are_unbiased_and_bounded():
     assert (high >= true - 1e-4)[off].mean() > 0.999
 
 
-def test_recall_with_many_more_cells_than_visits(spark, monkeypatch):
-    monkeypatch.setattr(em, "CELL", 20)
-    assert _planted_found(spark, 8000, 500) >= 0.9  # 400 cells
-
-
-def _planted_found(spark, count, pairs):
-    """Share of the pairs planted at cosine 0.9501 among count random vectors that are linked."""
+def test_recall_with_many_more_cells_than_visits(spark):
+    rows, planted = _planted(5000, 400)
+    got = {r["vec_id"]: r["n_links"] for r in em.links(spark.createDataFrame(rows, SCHEMA), Scratch(spark, "t"), cell=20).collect()}  # 250 cells
+    assert np.mean([got[i] > 0 for i in range(planted)]) >= 0.9
+
+
+def test_the_exact_way_finds_every_pair_among_many_cells(spark):
+    rng = np.random.default_rng(8)
+    centres = em.unit(rng.standard_normal((40, 24)))
+    x = em.unit(np.repeat(centres, 30, axis=0) + 0.055 * rng.standard_normal((1200, 24)))  # many pairs close to the threshold
+    rows = [(i, [float(v) for v in row.astype(np.float32)], "clash", "clash") for i, row in enumerate(x)]
+    want = plain([r[:2] for r in rows])
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, n_links string, near string")
+    exact = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in em.links(frame, Scratch(spark, "t"), cell=20, exact=True).collect()}  # 60 cells
+    assert exact == want and sum(n for n, _ in want.values()) > 5000
+    quick = {r["vec_id"]: r["n_links"] for r in em.links(frame, Scratch(spark, "t"), cell=20).collect()}
+    assert all(quick[k] <= want[k][0] for k in want)
+    assert sum(quick.values()) >= 0.9 * sum(n for n, _ in want.values())
+
+
+def _planted(count, pairs):
+    """Random vectors, the first and the last `pairs` of which are pairs at cosine 0.9501; and that number."""
     rng = np.random.default_rng(4)
     x = em.unit(rng.standard_normal((count - pairs, 64)))
     turn = rng.standard_normal((pairs, 64))
     turn = em.unit(turn - (turn * x[:pairs]).sum(axis=1, keepdims=True) * x[:pairs])
     x = np.concatenate([x, 0.9501 * x[:pairs] + (1 - 0.9501**2) ** 0.5 * turn]).astype(np.float32)
-    rows = [(i, v, 1) for i, v in enumerate(x.tolist())]
-    got = {r["vec_id"]: r["n_links"] for r in em.links(spark.createDataFrame(rows, SCHEMA), Scratch(spark, "t")).collect()}
-    return np.mean([got[i] > 0 for i in range(pairs)])
+    return [(i, v, 1) for i, v in enumerate(x.tolist())], pairs

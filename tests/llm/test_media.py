@@ -37,6 +37,29 @@ def test_peaks_do_not_depend_on_blocks(monkeypatch):
     assert all((a == b).all() for a, b in zip(whole, media.peaks(samples)))
 
 
+def test_landmarks_equal_brute_force():
+    rng = np.random.default_rng(5)
+    tone = 100 + 20 * np.sin(np.arange(6000) * 0.3) + rng.integers(0, 30, 6000)
+    samples = np.concatenate([tone, np.zeros(900), rng.integers(0, 256, 2500)]).astype(np.uint8)
+    samples = samples[: len(samples) // 64 * 64]
+    count = max(1, -(-(len(samples) - media.WINDOW) // media.HOP) + 1)
+    power = media._power(samples, 0, count)
+    found = []
+    for t in range(count):
+        for f in range(power.shape[1]):
+            v = power[t, f]
+            bins = slice(max(0, f - media.NEAR_BINS), f + media.NEAR_BINS + 1)
+            near, earlier = power[max(0, t - media.NEAR_FRAMES) : t + media.NEAR_FRAMES + 1, bins], power[max(0, t - media.NEAR_FRAMES) : t, bins]
+            if v == near.max() and v > earlier.max(initial=-1) and v > media.LOUD * power[t].mean() and v > 1e-3:
+                found.append((t, f))
+    want = sorted(
+        (t, f << 15 | g << 6 | u - t)
+        for i, (t, f) in enumerate(found) for u, g in found[i + 1 : i + 1 + media.FAN_OUT] if u - t <= media.REACH
+    )
+    time, code = media.landmarks(samples.tobytes())
+    assert len(want) > 20 and list(zip(time.tolist(), code.tolist())) == want
+
+
 def test_a_tone_is_found():
     t = np.arange(8000)
     samples = (128 + 60 * np.sin(2 * np.pi * 1000 * t / media.RATE)).astype(np.uint8)
