@@ -30,11 +30,13 @@ BLOCKS = 5
 SHORT, LONG = 14, 12
 #: Words are likelier to be a block the longer, hence rarer, they are: their odds double with every EACH letters, DOUBLED times at most.
 EACH, DOUBLED = 4, 6
-#: Bits of 63 by which SimHashes of near lines may differ: 13 expected where a fifth of the words changed, and 3.4 deviations.
-#: A line of MOST words or more overflows their counts: its SimHash rules nothing out.
-BITS, MOST = 24, 1 << 21
+#: A SimHash has three times SUMS bits. Those of near lines may differ in BITS: 9 expected where a fifth of the words
+#: changed, and 3.5 deviations. A line of MOST words or more overflows the counts: its SimHash rules nothing out.
+SUMS, BITS, MOST = 14, 18, 1 << 21
 #: Columns of a sketch.
 SKETCH = tuple(f"x{i}" for i in range(8))
+#: Numbers that turn the order of hashes: they differ in their first bits, one for each block.
+_TURNED = [(0x9E3779B97F4A7C15 * (i + 1) + 2**63) % 2**64 - 2**63 for i in range(BLOCKS)]
 #: Rounds after the first: in all but the last, lines meet one that no leader has reached yet.
 TURNS = 2
 #: Parts that the pairs of a line with very many are cut in.
@@ -77,15 +79,16 @@ def keyed(rows: DataFrame) -> DataFrame:
     letters = sum((F.coalesce(F.col(c).bitwiseAND(F.lit(63)), F.lit(0).cast("long")) for c in "bcd"), F.col("a").bitwiseAND(F.lit(63)))
     doubled = F.least(_shift("shiftrightunsigned", letters, EACH.bit_length() - 1), F.lit(DOUBLED).cast("long")) + 1
     words = words.select("line", "kind", F.xxhash64(*"abcd").alias("h"), doubled.cast("int").alias("doubled"))
-    least = [F.min(_shift("shiftrightunsigned", F.xxhash64(F.lit(i), "h"), F.col("doubled"))).alias(f"m{i}") for i in range(BLOCKS)]
+    # the order of hashes turned by different numbers is another one each time
+    least = [F.min(_shift("shiftrightunsigned", F.col("h").bitwiseXOR(F.lit(turn)), F.col("doubled"))).alias(f"m{i}") for i, turn in enumerate(_TURNED)]
     found = words.groupBy("line", "kind").agg(*least)
     return found.select("line", F.array(*[F.xxhash64(F.lit(i), "kind", f"m{i}") for i in range(BLOCKS)]).alias("blocks"))
 
 
 def _simhash(n: str) -> Column:
-    """The fingerprint: each of 21 sums counts three bits of the words' hashes, in lanes 21 bits apart; a bit is set if most words have it."""
+    """The fingerprint: each sum counts three bits of the words' hashes, in lanes 21 bits apart; a bit is set if most words have it."""
     out = None
-    for i in range(21):
+    for i in range(SUMS):
         for lane in range(3):
             count = F.shiftrightunsigned(F.col(f"s{i}"), 21 * lane).bitwiseAND(F.lit(MOST - 1))
             bit = F.when(count * 2 > F.col(n), F.lit(1 << (i + 21 * lane))).otherwise(F.lit(0)).cast("long")
@@ -103,7 +106,7 @@ def prints(texts: DataFrame) -> DataFrame:
     bit = _shift("shiftleft", F.lit(1).cast("long"), F.col("at").bitwiseAND(F.lit(63)).cast("int"))
     words = words.select("line", "n", "h", F.shiftrightunsigned("at", 6).alias("of"), bit.alias("bit"))
     lanes = F.lit(sum(1 << 21 * lane for lane in range(3)))
-    sums = [F.sum(F.shiftrightunsigned("h", i).bitwiseAND(lanes)).alias(f"s{i}") for i in range(21)]
+    sums = [F.sum(F.shiftrightunsigned("h", i).bitwiseAND(lanes)).alias(f"s{i}") for i in range(SUMS)]
     odd = [F.bit_xor(F.when(F.col("of") == i, F.col("bit")).otherwise(F.lit(0).cast("long"))).alias(f"x{i}") for i in range(8)]
     return words.groupBy("line", "n").agg(*sums, *odd).select("line", "n", _simhash("n").alias("simhash"), *SKETCH)
 
