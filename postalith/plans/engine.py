@@ -55,10 +55,10 @@ def _objects(spark: SparkSession, sf_dir: str) -> DataFrame:
         addr__city=F.when(at.isin(4, 5, 6) & (k % 50 != 4), F.concat(F.lit("  "), "n_name", F.lit(" \t"), "c_mktsegment")), addr__country=F.when(k % 20 == 15, "CH"),
     )
     tags = F.transform_keys(tags, lambda name, _: F.replace(name, F.lit(":dash"), F.lit("-")))
-    return _customers(spark, sf_dir).select("k", F.when(k % 4 != 3, "area").otherwise("node").alias("kind"), tags.alias("tags"))
+    return _customers(spark, sf_dir).select("k", F.when(k % 7 != 3, "area").otherwise("node").alias("kind"), tags.alias("tags"))
 
 
-_OBJECTS = "o AS (SELECT c_custkey AS k, n_name, c_mktsegment AS seg, c_custkey % 4 <> 3 AS area, lpad(CAST(c_custkey % 90000 AS VARCHAR), 5, '0') AS code FROM customer JOIN nation ON c_nationkey = n_nationkey)"
+_OBJECTS = "o AS (SELECT c_custkey AS k, n_name, c_mktsegment AS seg, c_custkey % 7 <> 3 AS area, lpad(CAST(c_custkey % 90000 AS VARCHAR), 5, '0') AS code FROM customer JOIN nation ON c_nationkey = n_nationkey)"
 
 
 @query(f"""
