@@ -164,7 +164,7 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 def groups(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """Two tables: places (key, mark, at, line) of all lines compared, and (node, component) of lines with near ones."""
-    rows = scratch.keep(compared(docs, key, text), "rows", compression="zstd")
+    rows = scratch.keep(compared(docs, key, text), "rows")
     lined = scratch.keep(keyed(rows), "keyed")
     blocks = lined.select("line", F.explode("blocks").alias("block"))
     # written, so that joins on a block that very many lines share can be split

@@ -38,8 +38,11 @@ def test_totals_meet_targets_and_reruns_agree(spark, docs):
         target[r["source"]] = r["target"]
         assert 0 <= r["copies"] <= 2 and 0 <= r["more"] <= r["documents"] and (r["copies"] < 2 or not r["more"])
     assert target == pytest.approx(plain_targets(sizes))
+    largest = {s: max(r["size"] for r in found if r["source"] == s) for s in target}
     for s, t in target.items():
-        assert abs(taken[s] - t) <= max(20, 0.01 * t)
+        # a document of a twentieth of a source's words and more may be what a lot decides
+        assert abs(taken[s] - t) <= max(20, 0.01 * t, largest[s] * (largest[s] > 0.05 * t))
+    assert sum(abs(taken[s] - t) <= max(20, 0.01 * t) for s, t in target.items()) >= len(target) - 1
     again = mixing.decide(docs.drop("size").repartition(7), Scratch(spark, "t"), group=1024).collect()
     assert sorted(map(str, found)) == sorted(map(str, again))
     assert sum(r["documents"] for r in found) == docs.count()
