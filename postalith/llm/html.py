@@ -1,11 +1,12 @@
 """Main text of web pages by nearest-URL page differencing.
 
 Pages of a host stand in order of their URL's path; each page is paired with the neighbours that share more of it.
-The text lines outside the marked article are aligned by a longest common subsequence, and lines that a page shares
-with both its nearest neighbours are template, not text. A neighbour that shares every line is a copy and tells
-nothing. Menus here change their words from page to page and copies of an article share all their lines, so the
-markup is heard as well: what stands in an article element is never deleted for being shared, and menus, headers,
-footers, sidebars, notices, adverts, forms and comments that the markup names go.
+The text lines, those of a marked article and those outside it apart, are aligned by a longest common subsequence, and
+lines that a page shares with both its nearest neighbours are template, not text. A neighbour that shares every line, or
+most of the article, is a copy and tells nothing. In an article only what all neighbours, three at least, share before
+its first own line or after its last is template: lines that recur in some articles or among own lines belong to them. Menus here change their words from page
+to page, so the markup is heard as well: menus, headers, footers, sidebars, notices, adverts, forms and comments that
+the markup names go.
 """
 
 from __future__ import annotations
@@ -40,6 +41,8 @@ NAMES = frozenset(
     "ad ads advert advertisement sponsored promo banner cookie-notice cookie-banner cookies notice sidebar nav navbar navigation menu breadcrumb breadcrumbs "
     "header footer masthead comment comments related newsletter".split()
 )
+#: Neighbours that must share a line of an article for it to be template.
+AGREE = 3
 ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
 
 
@@ -149,8 +152,9 @@ def extract(pages: DataFrame, scratch: Scratch, key: str = "page_id", url: str =
     """Main text of every page: (key, url, text, n_chars), blocks in page order joined by a line end.
 
     Null html gives the empty text. A null or broken url counts as a path on the host "". A page whose html has an
-    article or main element gives that element's blocks; others give all blocks that the markup does not drop and the
-    neighbours do not share. Neighbours are the two pages before and after on the same host, those with more of the
+    article or main element gives that element's blocks, others give all; of these go the blocks that the markup drops
+    and those that the neighbours share, in an article only where all of three or more share all up to its start or its end.
+    Neighbours are the three pages before and after on the same host, those with more of the
     path first; copies, which share every line or have those of a nearer neighbour, do not count, and of the others
     the first two must agree, or the only one decides. Repeated rows are one page and give the same text each. Very long pages are pages like any other. An
     empty table gives an empty one; other columns, whatever their names, play no part.
@@ -161,30 +165,35 @@ def extract(pages: DataFrame, scratch: Scratch, key: str = "page_id", url: str =
 
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, paths, keys = [], [], []
+            hosts, paths, keys, articles, sizes = [], [], [], [], []
             for u, h in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 host, path = split_url(u)
                 seen: dict[int, int] = {}
+                found = blocks(h)
                 hosts.append(host), paths.append(path)
-                keys.append([_key(t, seen) for t, article, _ in blocks(h) if not article])
+                keys.append([_key(t, seen) for t, article, _ in found if not article])
+                seen = {}
+                inner = [t for t, article, dropped in found if article and not dropped]
+                articles.append([_key(t, seen) for t in inner]), sizes.append([len(t) for t in inner])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), batch.column(3), pa.array(hosts, pa.string()), pa.array(paths, pa.list_(pa.string())), pa.array(keys, pa.list_(pa.int64()))],
-                names=["key", "url", "mark", "host", "path", "lines"],
+                [batch.column(0), batch.column(1), batch.column(3), pa.array(hosts, pa.string()), pa.array(paths, pa.list_(pa.string())), pa.array(keys, pa.list_(pa.int64())), pa.array(articles, pa.list_(pa.int64())), pa.array(sizes, pa.list_(pa.int64()))],
+                names=["key", "url", "mark", "host", "path", "lines", "article", "sizes"],
             )
 
-    light = base.mapInArrow(lines, f"key {kind}, url string, mark long, host string, path array<string>, lines array<long>").dropDuplicates(["key", "url", "mark"])
+    light = base.mapInArrow(lines, f"key {kind}, url string, mark long, host string, path array<string>, lines array<long>, article array<long>, sizes array<long>").dropDuplicates(["key", "url", "mark"])
     light = scratch.keep(light, "lines")
     ranked = scratch.keep(global_rank(light, ["host", "path", "key", "url", "mark"], scratch, "order"), "ranked")
-    by = F.explode(F.array(*map(F.lit, (-1, 1, -2, 2)))).alias("by")
-    sent = ranked.select("rank", by, F.struct("host", "path", "lines").alias("page")).select((F.col("rank") + F.col("by")).alias("rank"), F.struct((-F.col("by")).alias("by"), "page").alias("side"))
+    by = F.explode(F.array(*map(F.lit, (-1, 1, -2, 2, -3, 3)))).alias("by")
+    sent = ranked.select("rank", by, F.struct("host", "path", "lines", "article").alias("page")).select((F.col("rank") + F.col("by")).alias("rank"), F.struct((-F.col("by")).alias("by"), "page").alias("side"))
     sides = ranked.join(sent.groupBy("rank").agg(F.collect_list("side").alias("sides")), "rank", "left")
 
     def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [template(host, path, own, near or []) for host, path, own, near in zip(*(batch.column(i).to_pylist() for i in range(3, 7)))]
+            rows = zip(*(batch.column(i).to_pylist() for i in range(3, 9)))
+            out = [edges(host, path, article, sizes, near or []) if article else template(host, path, own, near or []) for host, path, own, article, sizes, near in rows]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(out, pa.list_(pa.int32()))], names=["_key", "_url", "_mark", "shared"])
 
-    marks = sides.select("key", "url", "mark", "host", "path", "lines", "sides").mapInArrow(shared, f"_key {kind}, _url string, _mark long, shared array<int>")
+    marks = sides.select("key", "url", "mark", "host", "path", "lines", "article", "sizes", "sides").mapInArrow(shared, f"_key {kind}, _url string, _mark long, shared array<int>")
     marks = scratch.keep(marks.where(F.size("shared") > 0), "shared")
     scratch.drop("lines", "order", "ranked")
 
@@ -197,16 +206,21 @@ def extract(pages: DataFrame, scratch: Scratch, key: str = "page_id", url: str =
     return base.join(marks, same, "left").select("key", "url", "html", "shared").mapInArrow(text, f"`{key}` {kind}, `{url}` string, text string, n_chars long")
 
 
-def template(host: str, path: list[str], own: list[int], sides: list[dict]) -> list[int]:
-    """Places of a page's lines that belong to its template, given its neighbours (by: how far off, page: host, path, lines)."""
+def nearest(host: str, path: list[str], sides: list[dict]) -> list[dict]:
+    """The neighbours (by: how far off, page: host, path, lines, article) on a page's host, those with more of its path first."""
 
     def off(side: dict) -> tuple[int, int, int]:
         same = next((i for i, (x, y) in enumerate(zip(path, side["page"]["path"])) if x != y), min(len(path), len(side["page"]["path"])))
         return -same, abs(side["by"]), side["by"]
 
+    return sorted((x for x in sides if x["page"]["host"] == host), key=off)
+
+
+def template(host: str, path: list[str], own: list[int], sides: list[dict]) -> list[int]:
+    """Places of a page's lines that belong to its template, given its neighbours."""
     found: list[list[int]] = []
     seen: list[list[int]] = []
-    for side in sorted((x for x in sides if x["page"]["host"] == host), key=off):
+    for side in nearest(host, path, sides):
         lines = side["page"]["lines"]
         places = common(own, lines)
         if len(places) < len(own) and lines not in seen:
@@ -217,9 +231,31 @@ def template(host: str, path: list[str], own: list[int], sides: list[dict]) -> l
     return sorted(set(found[0]).intersection(*found[1:])) if found else []
 
 
+def edges(host: str, path: list[str], own: list[int], sizes: list[int], sides: list[dict]) -> list[int]:
+    """Places of an article's lines (and their sizes) that stand before its first own line or after its last.
+
+    Own is what one of the neighbours does not share. Those without an article, those that share more than half of
+    this one's characters and copies of a nearer one do not count; with fewer than AGREE left, all lines are own.
+    """
+    found: list[list[int]] = []
+    seen: list[list[int]] = []
+    for side in nearest(host, path, sides):
+        lines = side["page"]["article"]
+        places = common(own, lines)
+        if lines and lines not in seen and 2 * sum(sizes[i] for i in places) <= sum(sizes):
+            found.append(places)
+            seen.append(lines)
+    if len(found) < AGREE:
+        return []
+    every = set(found[0]).intersection(*found[1:])
+    mine = [i for i in range(len(own)) if i not in every]
+    return [i for i in range(len(own)) if i < mine[0] or i > mine[-1]]
+
+
 def main_text(found: list[tuple[str, bool, bool]], shared: list[int] | None) -> str:
-    """The text of a page's blocks, given which of those outside an article its neighbour shares."""
-    if any(article for _, article, _ in found):
-        return "\n".join(t for t, article, dropped in found if article and not dropped)
+    """The text of a page's blocks, given the places of those that its neighbours share: among an article's blocks, or all."""
     gone = set(shared or ())
+    inner = [t for t, article, dropped in found if article and not dropped]
+    if inner or any(article for _, article, _ in found):
+        return "\n".join(t for i, t in enumerate(inner) if i not in gone)
     return "\n".join(t for i, (t, _, dropped) in enumerate(found) if not dropped and i not in gone)

@@ -68,6 +68,20 @@ def test_copies_without_an_article_stay(spark):
     assert set(texts(spark, [(1, "http://h/1", page), (2, "http://h/2", page)]).values()) == {"One long story told twice"}
 
 
+def test_an_articles_template_lines_go_by_the_pairing(spark):
+    page = lambda own, first="Share this story": SHELL.format(f"<article><p>{first}</p><h1>{own} head</h1><h2>Background</h2><p>{(own + ' told at length ') * 9}</p><p>Read our house rules</p><p>Write to the desk</p></article>")
+    whole = lambda own: f"{own} head\nBackground\n{(own + ' told at length ') * 9}".strip()
+    rows = [(i, f"http://h/a/{i}", page(own)) for i, own in enumerate(("Alpha", "Beta", "Gamma", "Delta", "Delta", "Epsilon", "Zeta", "Eta"))] + [(9, "http://alone/a/1", page("Alpha"))]
+    rows += [(20 + i, f"http://g/a/{i}", page(own, first=f"Told by {own}")) for i, own in enumerate(("Alpha", "Beta", "Gamma", "Delta"))]
+    rows += [(30 + i, f"http://s/a/{i}", page(own)) for i, own in enumerate(("Alpha", "Beta", "Gamma"))]
+    got = texts(spark, rows)
+    # headings among own lines stay, a copy among the neighbours tells nothing, a page alone stays whole
+    assert [got[i] for i in range(8)] == [whole(own) for own in ("Alpha", "Beta", "Gamma", "Delta", "Delta", "Epsilon", "Zeta", "Eta")]
+    assert got[9] == f"Share this story\n{whole('Alpha')}\nRead our house rules\nWrite to the desk"
+    assert got[20] == "Told by Alpha\n" + whole("Alpha")
+    assert got[30] == got[9]  # two neighbours may share a line by chance
+
+
 def test_odd_pages(spark):
     rows = [(1, None, None), (2, "", ""), (3, "http://h/", "no markup at all"), (4, "http://h/", "<p>open <b>tags"), (5, ":::", "<script>only"), (None, "http://h/", "<p>null key</p>"), (6, "http://h/", "<p>" + "x " * 200_000)]
     got = texts(spark, rows)
