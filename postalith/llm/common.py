@@ -142,12 +142,13 @@ def extended(labels: DataFrame, more: DataFrame, scratch: Scratch, name: str) ->
     """
     of = lambda c: labels.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}"))
     lifted = more.join(of("a"), "a", "left").join(of("b"), "b", "left")
-    lifted = scratch.keep(lifted.select("a", "b", F.coalesce("of_a", "a").alias("x"), F.coalesce("of_b", "b").alias("y")), f"{name}-lifted")
+    lifted = scratch.keep(lifted.select("a", "b", "of_a", "of_b", F.coalesce("of_a", "a").alias("x"), F.coalesce("of_b", "b").alias("y")), f"{name}-lifted")
     if not lifted.where("x <> y").limit(1).count():
         return labels
     merged = components(lifted.where("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")), scratch, name)
-    new = lifted.select(F.explode(F.array(F.struct("a", "x"), F.struct(F.col("b").alias("a"), F.col("y").alias("x")))).alias("n")).select(F.col("n.a").alias("node"), F.col("n.x").alias("component"))
-    every = labels.unionByName(new).distinct().join(merged.select(F.col("node").alias("component"), F.col("component").alias("now")), "component", "left")
+    # nodes that no group has yet stand for themselves; each comes once, however many links it has
+    new = lifted.where("of_a is null").select("a").union(lifted.where("of_b is null").select("b")).distinct().select(F.col("a").alias("node"), F.col("a").alias("component"))
+    every = labels.unionByName(new).join(merged.select(F.col("node").alias("component"), F.col("component").alias("now")), "component", "left")
     return scratch.keep(every.select("node", F.coalesce("now", "component").alias("component")), f"{name}-labels")
 
 

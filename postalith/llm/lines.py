@@ -59,25 +59,19 @@ def _shift(name: str, value: Column, by: Column | int) -> Column:
     return F.call_function(name, value, F.lit(by) if isinstance(by, int) else by)
 
 
-def _words(norm: str) -> Column:
-    """A number for each word: its hash, with its length (63 at most) in the last six bits."""
-    code = lambda w: F.xxhash64(w).bitwiseAND(F.lit(-64)).bitwiseOR(F.least(F.length(w), F.lit(63)).cast("long"))
-    return F.transform(F.split(norm, " "), code)
-
-
 def keyed(rows: DataFrame) -> DataFrame:
     """line and its blocks, for every line of rows (line, norm): one row, but two for lines that are neither short nor long.
 
     A line of three words or fewer has no near lines but equal ones, and no blocks.
     """
     kinds = F.when(F.col("n") < LONG, F.array(F.lit(2))).when(F.col("n") > SHORT, F.array(F.lit(4))).otherwise(F.array(F.lit(2), F.lit(4)))
-    sized = rows.select("line", _words("norm").alias("w")).select("line", "w", F.size("w").alias("n")).where("n >= 4")
+    sized = rows.select("line", F.split("norm", " ").alias("w")).select("line", "w", F.size("w").alias("n")).where("n >= 4")
     at = sized.select("line", "w", F.explode(kinds).alias("kind")).select("line", "kind", "w", F.posexplode("w").alias("i", "a"))
     after = lambda by: F.get("w", F.col("i") + by)
     long = F.col("kind") == 4
     words = at.select("line", "kind", "a", after(1).alias("b"), F.when(long, after(2)).alias("c"), F.when(long, after(3)).alias("d"))
-    letters = sum((F.coalesce(F.col(c).bitwiseAND(F.lit(63)), F.lit(0).cast("long")) for c in "bcd"), F.col("a").bitwiseAND(F.lit(63)))
-    doubled = F.least(_shift("shiftrightunsigned", letters, EACH.bit_length() - 1), F.lit(DOUBLED).cast("long")) + 1
+    letters = sum((F.coalesce(F.length(c), F.lit(0)) for c in "bcd"), F.length("a"))
+    doubled = F.least(_shift("shiftrightunsigned", letters, EACH.bit_length() - 1), F.lit(DOUBLED)) + 1
     words = words.select("line", "kind", F.xxhash64(*"abcd").alias("h"), doubled.cast("int").alias("doubled"))
     # the order of hashes turned by different numbers is another one each time
     least = [F.min(_shift("shiftrightunsigned", F.col("h").bitwiseXOR(F.lit(turn)), F.col("doubled"))).alias(f"m{i}") for i, turn in enumerate(_TURNED)]
@@ -101,8 +95,8 @@ def prints(texts: DataFrame) -> DataFrame:
 
     Each word flips one bit of the sketches: an edit flips two of their 512 bits at most.
     """
-    split = texts.select("line", _words("norm").alias("w")).select("line", F.size("w").alias("n"), "w").where("n >= 4")
-    words = split.select("line", "n", F.explode("w").alias("a")).select("line", "n", F.xxhash64(F.lit(7), "a").alias("h"), F.shiftrightunsigned("a", 8).bitwiseAND(F.lit(511)).alias("at"))
+    split = texts.select("line", F.split("norm", " ").alias("w")).select("line", F.size("w").alias("n"), "w").where("n >= 4")
+    words = split.select("line", "n", F.explode("w").alias("a")).select("line", "n", F.xxhash64(F.lit(7), "a").alias("h"), F.shiftrightunsigned(F.xxhash64("a"), 8).bitwiseAND(F.lit(511)).alias("at"))
     bit = _shift("shiftleft", F.lit(1).cast("long"), F.col("at").bitwiseAND(F.lit(63)).cast("int"))
     words = words.select("line", "n", "h", F.shiftrightunsigned("at", 6).alias("of"), bit.alias("bit"))
     lanes = F.lit(sum(1 << 21 * lane for lane in range(3)))
@@ -179,9 +173,9 @@ def groups(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "
     print_ = F.struct("line", "n", "simhash", *SKETCH)
 
     def verified(pairs: DataFrame, turn: int) -> DataFrame:
-        """The pairs (a, b) that are near; prints rule most of the others out."""
+        """The pairs (a, b) that are near; prints rule most of the others out, in the last turn before the pairs are made."""
         one, two = (found.select(F.col("line").alias(c), print_.alias(p)) for c, p in (("a", "one"), ("b", "two")))
-        some = pairs.distinct().join(one, "a").join(two, "b").where(_met("one", "two")).select("a", "b")
+        some = pairs if turn == TURNS else pairs.distinct().join(one, "a").join(two, "b").where(_met("one", "two")).select("a", "b")
         return scratch.keep(_verified(scratch.keep(some, f"pairs{turn}"), texts), f"edges{turn}")
 
     led = shared.where("line <> lead").select(F.col("line").alias("a"), F.col("lead").alias("b"))
@@ -197,11 +191,14 @@ def groups(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "
         if turn < TURNS:  # one of them leads all that are not of its group
             pairs = mixed.where(F.col("own") != F.col("new.own")).select(F.col("line").alias("a"), F.col("new.line").alias("b"))
         else:  # all that are left
-            sides = mixed.join(found.select("line", print_.alias("print")), "line").select("block", "own", "out", "print")
+            every = mixed.groupBy("line").agg(F.collect_list("block").alias("blocks"))
+            sides = mixed.join(found.select("line", print_.alias("print")), "line").join(every, "line").select("block", "own", "out", "print", "blocks")
             sides = scratch.keep(sides, "sides")
-            outer = sides.where("out").select("block", F.col("own").alias("own1"), F.col("print").alias("one"))
-            inner = sides.select("block", F.col("own").alias("own2"), F.col("out").alias("out2"), F.col("print").alias("two"))
-            met = outer.join(inner, "block").where((F.col("own1") != F.col("own2")) & (~F.col("out2") | (F.col("own1") < F.col("own2"))) & _met("one", "two"))
+            outer = sides.where("out").select("block", F.col("own").alias("own1"), F.col("print").alias("one"), F.col("blocks").alias("blocks1"))
+            inner = sides.select("block", F.col("own").alias("own2"), F.col("out").alias("out2"), F.col("print").alias("two"), F.col("blocks").alias("blocks2"))
+            # lines that share several blocks meet in the least of them alone
+            once = F.col("block") == F.array_min(F.array_intersect("blocks1", "blocks2"))
+            met = outer.join(inner, "block").where((F.col("own1") != F.col("own2")) & (~F.col("out2") | (F.col("own1") < F.col("own2"))) & _met("one", "two") & once)
             pairs = met.select(F.col("one.line").alias("a"), F.col("two.line").alias("b"))
         labels = extended(labels, verified(pairs, turn), scratch, f"more{turn}")
         scratch.drop(f"named{turn}", f"lead{turn}")

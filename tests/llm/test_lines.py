@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from postalith.llm import lines
-from postalith.llm.common import Scratch, join_hot, perhaps
+from postalith.llm.common import Scratch, extended, join_hot, perhaps
 
 BASE = "the quick brown fox jumps over the lazy dog while seven wise owls watch from old oak trees near a silent lake " * 3
 
@@ -173,6 +173,21 @@ def test_lines_at_just_the_least_similarity_are_mostly_found(spark, sizes):
     assert len(removed) >= 0.75 * len(sizes)  # at least nine of ten of all near lines are found, but these are the hardest
 
 
+def test_lines_that_share_blocks_meet_once_and_new_nodes_are_told_once(spark, monkeypatch):
+    rows = _planted([60] * 40, 5)
+    met = []
+    verified = lines._verified
+    monkeypatch.setattr(lines, "_verified", lambda pairs, texts: met.append([tuple(sorted(r)) for r in pairs.collect()]) or verified(pairs, texts))
+    monkeypatch.setattr(lines, "components", lambda edges, scratch, name: edges.sparkSession.createDataFrame([], "node long, component long"))
+    monkeypatch.setattr(lines, "extended", lambda labels, *_: labels)
+    lines.groups(spark.createDataFrame(rows, "doc_id long, text string"), Scratch(spark, "t"))  # nothing is grouped before the last round
+    assert len(met[-1]) > 20 and len(set(met[-1])) == len(met[-1])
+    labels = spark.createDataFrame([(1, 1), (2, 1)], "node long, component long")
+    more = spark.createDataFrame([(7, 1), (7, 2), (8, 7), (0, 9)], "a long, b long")
+    got = extended(labels, more, Scratch(spark, "t"), "m")
+    assert sorted(map(tuple, got.collect())) == [(0, 0), (1, 1), (2, 1), (7, 1), (8, 1), (9, 0)]
+
+
 def test_hot_joins_and_filters_keep_all_rows(spark):
     left = spark.range(5000).selectExpr("if(id < 3000, 0, id) k", "id v")
     right = left.groupBy("k").agg(F.count("*").alias("n"), F.min("v").alias("first"))
