@@ -48,11 +48,14 @@ class Scratch:
         df.write.mode("overwrite").option("compression", compression).option(*_QUICK).parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
-    def bucketed(self, df: DataFrame, name: str, key: str, compression: str = "snappy") -> DataFrame:
-        """A table whose rows lie by the hash of a key: joins and aggregations on it need not move them."""
+    def bucketed(self, df: DataFrame, name: str, key: str, compression: str = "snappy", dealt: bool = False) -> DataFrame:
+        """A table whose rows lie by the hash of a key: joins and aggregations on it need not move them.
+
+        dealt says that df comes out of a shuffled join on the key, so each bucket is in one task already.
+        """
         count = max(1, int(self.spark.conf.get("spark.sql.shuffle.partitions")))
         table = f"postalith_{uuid.uuid4().hex}"
-        where = df.repartition(count, key).write.bucketBy(count, key).option("path", self.path(name)).option("compression", compression).option(*_QUICK)
+        where = (df if dealt else df.repartition(count, key)).write.bucketBy(count, key).option("path", self.path(name)).option("compression", compression).option(*_QUICK)
         where.saveAsTable(table)
         self.tables[name] = table
         return self.spark.table(table)

@@ -197,3 +197,40 @@ def test_hot_joins_and_filters_keep_all_rows(spark):
     assert perhaps(left, some, ["k"]).join(some, "k").count() == left.join(some, "k").count()
     assert perhaps(left, some, ["k"]).count() + perhaps(left, some, ["k"], others=True).count() == 5000
     assert perhaps(left, some.limit(0), ["k"]).count() == 0
+
+
+def test_lines_of_a_common_passage_meet_by_their_rare_words(spark, monkeypatch):
+    draw = random.Random(11)
+    word = lambda: "".join(draw.choice("aeioulnrst") for _ in range(7))
+    passage = " ".join(word() for _ in range(30))
+    rows = [" ".join([*(word() for _ in range(15)), passage, *(word() for _ in range(10))]) for _ in range(300)]
+    rows += [x.replace(x.split(" ")[3], word(), 1) + " " + word() for x in rows[:40]]  # near ones of some
+    ids = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    monkeypatch.setattr(lines, "CROWD", 20)
+    monkeypatch.setattr(Scratch, "drop", lambda self, *names: None)
+    sides = []
+    met_by = lines._met_by
+    monkeypatch.setattr(lines, "_met_by", lambda some: sides.append(some) or met_by(some))
+    removed = {r["doc_id"] for r in lines.dedup(ids, Scratch(spark, "t")).where("removed_lines = 1").select("doc_id").collect()}
+    assert removed == set(range(300, 340))
+    # no more pairs of lines that share a key than lines, before any sketch tells them apart; by blocks there were 300 times as many
+    made = sum(s.where("out").alias("x").join(s.alias("y"), "key").where("x.print.line < y.print.line").count() for s in sides)
+    assert made < 2 * len(rows)
+
+
+def test_near_lines_share_one_of_their_rarest_words(spark):
+    rows = _planted([6, 9, 14, 20, 45, 60, 100] * 20, 8) + [(9000, "a a a a a b b b b b"), (9001, "a a a a b b b b b c")]
+    texts = spark.createDataFrame(rows, "line long, norm string")
+    got = {r["line"]: set(r["tokens"]) for r in lines.rarest(texts).collect()}
+    assert all(len(got[k]) == len(x.split()) - -(-len(x.split()) * 4 // 5) + 1 for k, x in rows)
+    assert all(got[k] & got[k + 1] for k in range(0, 280, 2)) and got[9000] & got[9001]
+
+
+def test_blocks_of_two_lines_that_cannot_be_near_are_left_out(spark):
+    rows = [(1, 5, 20, 0b1), (1, 6, 25, 0b1), (2, 5, 20, 0), (2, 6, 26, 0), (3, 5, 20, 0b11111), (3, 6, 20, 0b1111100000), (4, 5, 20, 0), (4, 6, 90, 0), (4, 7, 20, 0), (5, 5, 20, 0), (6, 5, 20, 0b11111111111), (6, 6, 20, None)]
+    got = lines.leads(spark.createDataFrame(rows, "block long, line long, n int, odd long")).collect()
+    assert sorted(map(tuple, got)) == [(1, 5, False), (4, 5, True), (6, 5, False)]
+    norm = "seven wise owls watch from old oak trees near a silent lake"
+    for copies in (1, 2, 3):
+        told = lines.keyed(spark.createDataFrame([(7, norm)] * copies, "line long, norm string")).collect()
+        assert [r["n"] for r in told] == [12, 12] and [r["odd"] is None for r in told] == [copies == 2] * 2
