@@ -118,7 +118,7 @@ def rarest(texts: DataFrame) -> DataFrame:
     often = every.agg(F.sort_array(F.collect_list(F.struct("id", "n")))["n"].alias("_often"))  # one row of fixed size
     ranked = lambda w: F.sort_array(F.transform(w, lambda a: F.struct(F.get("_often", place(a)).alias("n"), F.xxhash64(a).alias("h"))))
     first = lambda o: F.slice(ranked(o["w"]), 1, (F.size(o["w"]) - _alike(F.size(o["w"])) + 1).cast("int"))
-    told = lambda few: F.transform(few, lambda s, i: F.xxhash64(s["h"], i.cast("long") - F.array_position(few, s)))
+    told = lambda few: F.transform(few, lambda s, i: F.hash(s["h"], i.cast("long") - F.array_position(few, s)))
     tokens = F.transform(F.transform(F.array(F.struct(F.split("norm", " ").alias("w"))), first), told)[0]
     return texts.crossJoin(F.broadcast(often)).withColumn("tokens", tokens).drop("norm", "_often")
 
